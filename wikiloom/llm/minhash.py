@@ -17,6 +17,8 @@ from .common import connected_components, stage
 #: symbol left out. 23 of 60 symbols: a pair of similarity 0.85 is missed with probability 3e-6, one of 0.9 with 1e-10.
 CHUNKS, WIDTH, ERRORS = 12, 5, 1
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
+#: Members of a block of a cluster, and bytes of cluster places up to which they are broadcast beside the texts.
+MEMBERS, BROADCAST_BYTES = 512, 16 << 20
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(0, 2**63, CHUNKS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _KEY = _rng.integers(0, 2**63, (CHUNKS, WIDTH), dtype=np.uint64)
@@ -84,21 +86,97 @@ def _sets(k: int):
         for whole in batches:
             for lo in range(0, whole.num_rows, 500):
                 batch = whole.slice(lo, 500)
-                sets = [shingle_set(t.as_py(), k).view(np.int64) for t in batch.column(1)]
+                sets = [shingle_set(t.as_py(), k).view(np.int64) for t in batch.column(4)]
                 ends = np.cumsum([0, *map(len, sets)])
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))], names=["id", "set"])
+                made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), made], names=["cluster", "blocks", "b", "id", "set"])
 
     return run
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets meet 100 * intersection >= percent * union."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stage(texts.join(ids, "id", "left_semi").mapInArrow(_sets(k), "id long, set array<long>"), "sets")
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b").distinct()
+def _common(sets: list[np.ndarray], first: int) -> np.ndarray:
+    """Sizes of the intersections of the first ``first`` sets (rows) with the others, or with themselves if these are all."""
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, at, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = n > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[at]
+    of, at, width = of[keep], number[at[keep]], int(shared.sum())
+    order = np.argsort(at, kind="stable")
+    of, at = of[order], at[order]
+    rest = 0 if first == len(sets) else first
+    out = np.zeros((first, len(sets) - rest), np.float32)
+    for lo in range(0, width, 4096):
+        i, j = np.searchsorted(at, [lo, lo + 4096])
+        m = np.zeros((len(sets), min(4096, width - lo)), np.float32)
+        m[of[i:j], at[i:j] - lo] = 1
+        out += m[:first] @ m[rest:].T
+    return out
+
+
+def forest(link: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> list[tuple[int, int]]:
+    """Edges (row id, column id) that span the components of a matrix of links."""
+    out, new_rows, new_cols = [], np.ones(len(rows), bool), np.ones(len(cols), bool)
+    for start in range(len(rows)):
+        todo = [(0, start)] if new_rows[start] else []
+        new_rows[start] = False
+        while todo:
+            side, at = todo.pop()
+            line, new, ids, own = (link[at], new_cols, cols, rows[at]) if side == 0 else (link[:, at], new_rows, rows, cols[at])
+            for x in np.flatnonzero(line & new).tolist():
+                out.append((int(own), int(ids[x])))
+                todo.append((1 - side, x))
+            new &= ~line
+    return out
+
+
+def _links(percent: int):
+    """Runs of (cluster, i, j, b, id, set), the members of two blocks of a cluster, to a forest (a, b) of their links."""
+
+    def flush(run: list) -> list[tuple[int, int]]:
+        i = run[0][1]
+        run.sort(key=lambda x: (x[3] != i, x[4]))
+        first = sum(x[3] == i for x in run)
+        if first == 0 or run[0][1] != run[0][2] and first == len(run):
+            return []
+        ids = np.array([x[4] for x in run])
+        sets = [x[5] for x in run]
+        n = np.array([len(x) for x in sets], np.float32)
+        common = _common(sets, first)
+        rest = 0 if first == len(run) else first
+        return forest(100 * common >= percent * (n[:first, None] + n[None, rest:] - common), ids[:first], ids[rest:])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+        for batch in batches:
+            out = []
+            for *key, b, i, s in zip(*(batch.column(k).to_pylist() for k in range(5)), batch.column(5)):
+                if held and held[0][:3] != tuple(key):
+                    out += flush(held)
+                    held = []
+                held.append((*key, b, i, s.values.to_numpy(zero_copy_only=False).view(np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        if held:
+            out = flush(held)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def confirmed(clusters: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """A forest (a, b) of the links inside each cluster of candidates; links hold on the full sets.
+
+    Clusters (id, cluster) are cut into blocks of about MEMBERS; each two blocks meet once, and what they return is at
+    most one edge for each member, whatever the number of links.
+    """
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("blocks"))
+    placed = stage(clusters.join(sizes, "cluster").withColumn("b", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "placed")
+    small = placed.count() * 40 <= BROADCAST_BYTES
+    sets = texts.join(F.broadcast(placed) if small else placed, "id").select("cluster", "blocks", "b", "id", "text").mapInArrow(_sets(k), "cluster long, blocks int, b int, id long, set array<long>")
+    meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("b")).alias("i"), F.greatest(x, F.col("b")).alias("j")))
+    runs = sets.select("cluster", F.explode(meet).alias("m"), "b", "id", "set").select("cluster", "m.i", "m.j", "b", "id", "set")
+    runs = runs.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    return stage(runs.mapInArrow(_links(percent), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,9 +184,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
     Two documents are linked when their sets of k-word shingles (A-Z lower-cased, words between ASCII white space) have
     100 * intersection >= percent * union; component_id is the smallest doc_id that links reach. Documents with equal
-    sets are one node from the start. Buckets of the multi-index join are first linked to their smallest member; then,
-    in buckets that still hold several components, all pairs across components within the signature distance are
-    confirmed. Pairs inside one component are not needed, so a group of copies never becomes all of its pairs.
+    sets are one node from the start. Each bucket of the multi-index join makes its members candidates of its smallest
+    member; candidates that connect are a cluster, which holds all pairs within the signature distance. Inside a cluster
+    all full sets are compared, block by block, and only a forest of the links is returned: a group of copies never
+    becomes all of its pairs, in no table.
 
     Null texts and texts without words have empty sets and link with nothing. Rows that share a doc_id count as one
     document; a null doc_id is linked with nothing and is its own (null) component. An empty table gives no rows;
@@ -120,31 +199,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     nodes = stage(nodes, "nodes")
     keys = nodes.select("id", "sig").mapInArrow(_keys, "key long, id long")
     lone = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key", "low")
-    buckets = stage(keys.join(lone, "key"), "buckets")
-    signed = nodes.select("id", "n", F.transform(F.sequence(F.lit(0), F.lit(CHUNKS * WIDTH - 1)), lambda i: F.substring(F.col("sig"), i * 2 + 1, F.lit(2))).alias("s"))
-
-    def within(pairs: DataFrame) -> DataFrame:
-        side = lambda x: signed.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"))
-        both = pairs.join(side("a"), "a").where("a is not null").join(side("b"), "b")
-        differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 0).otherwise(1)), F.lit(0), lambda u, v: u + v)
-        sized = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-        return both.where(sized).where(differ <= DISTANCE).select("a", "b").distinct()
-
-    stars = stage(within(buckets.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()), "pairs")
-    links = stage(confirmed(stars, texts, k, percent), "links")
+    candidates = keys.join(lone, "key").where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
+    clusters = stage(connected_components(stage(candidates, "candidates")).select(F.col("node").alias("id"), F.col("component").alias("cluster")), "clusters")
+    links = confirmed(clusters, texts, k, percent)
     same = rows.where("n > 0 and doc_id is not null").join(nodes.select("p", "q", "id"), ["p", "q"]).where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")).distinct()
-    groups = connected_components(links)
-    placed = buckets.select("key", "id").join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id"))
-    placed = stage(placed.select("key", "id", "c"), "placed")
-    mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    open_ = stage(placed.join(mixed, "key"), "open")
-    n_of = nodes.select("id", "n")
-    open_ = stage(open_.join(n_of, "id"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
-    across = across.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = confirmed(stage(within(across), "pairs"), texts, k, percent)
-    every = links.unionByName(more).unionByName(same)
+    every = links.unionByName(same)
     parts = connected_components(every).select(F.col("node").alias("doc_id"), "component")
     out = rows.join(parts, "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))

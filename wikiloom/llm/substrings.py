@@ -16,7 +16,7 @@ from .common import stage
 
 #: Bytes of an anchor, contexts that one construction holds, distinct contexts of an anchor over which its strings are
 #: counted by hash instead, bytes of text worked on at once, and bytes of marks up to which they are broadcast.
-ANCHOR, CONTEXTS, HOT, SLAB, BROADCAST_BYTES = 32, 16384, 512, 1 << 20, 16 << 20
+ANCHOR, CONTEXTS, HOT, SLAB, BROADCAST_BYTES = 32, 16384, 2048, 1 << 20, 16 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 

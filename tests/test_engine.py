@@ -85,7 +85,7 @@ def test_urls_and_text():
     text, links, bare = extract_urls("[http://a.b c d] http://e/f. Http://g [bad://x y]")
     assert [x["url"] for x in links] == ["http://a.b", "http://e/f."] and bare == ["http://e/f."] and text == "c d  Http://g [bad://x y]"
     assert strip_templates("a{{b{{c}}}}d{{e") == "a d{{e" and strip_templates("}}x{{y}}") == "}}x "
-    assert clean_text("'''b''' ''i'' &nbsp; <b>x</b>\n \n\n<br/>y {| a {| b |} c |}z") == "b i     x \n\ny \nz"
+    assert clean_text("'''b''' ''i'' &nbsp; <b>x</b>\n \n\n<br/>y {| a {| b |} c |}z") == "b i    x\n\ny \nz"
 
 
 def test_long_patterns_survive(spark):

@@ -6,7 +6,8 @@ import re
 
 _BRACE = re.compile(r"[{}]")
 _FIELD = re.compile(r"[{}\[\]|]")
-_MASKED = re.compile("([0-9]+)")
+OPEN, SHUT = "\ue010", "\ue011"
+_MASKED = re.compile(f"{OPEN}([0-9]+){SHUT}")
 
 
 def split_templates(text: str) -> list[str]:

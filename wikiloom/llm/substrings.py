@@ -16,7 +16,7 @@ from .common import stage
 
 #: Bytes of an anchor, contexts that one construction holds, distinct contexts of an anchor over which its strings are
 #: counted by hash instead, bytes of text worked on at once, and bytes of marks up to which they are broadcast.
-ANCHOR, CONTEXTS, HOT, SLAB, BROADCAST_BYTES = 32, 16384, 2048, 1 << 20, 16 << 20
+ANCHOR, CONTEXTS, HOT, SLAB, BROADCAST_BYTES = 32, 16384, 2048, 1 << 20, 24 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -177,6 +177,8 @@ def _construct(length: int):
         h, c, a, ctx = [], [], [], []
         for b in batches:
             for x in zip(*(col.to_pylist() for col in b.columns)):
+                if h and x[:2] == (h[-1], c[-1]):
+                    continue
                 if len(h) >= CONTEXTS and x[0] != h[-1]:
                     yield flush(h, c, a, ctx)
                     h, c, a, ctx = [], [], [], []
@@ -259,20 +261,22 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     kinds = found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("dk", "pos")).alias("at"))
     kinds = stage(kinds, "kinds")
     shared = kinds.groupBy("h").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("d")).where("total > 1")
-    kinds = stage(kinds.join(shared, "h").select("h", "c", "n", "at", "d"), "kinds")
-    unsettled = kinds.where("d > 1").select("at.dk", F.struct("at.pos", "h", "c").alias("x")).groupBy("dk").agg(F.collect_list("x").alias("x"))
+    kinds = stage(kinds.join(shared, "h").where("n > 1 or d > 1").select("h", "c", "n", "at", "d"), "kinds")
+    unsettled = kinds.where("d > 1").select("at.dk", F.struct("at.pos", "h", "c", "d").alias("x")).groupBy("dk").agg(F.collect_list("x").alias("x"))
     unsettled = stage(unsettled, "unsettled")
 
     def beside_text(marks: DataFrame, size, how: str) -> DataFrame:
         total = marks.agg(F.sum(size + 16)).first()[0] or 0
         return raw.join(F.broadcast(marks) if total <= BROADCAST_BYTES else marks, "dk", how)
 
-    # A repeated row would give its contexts twice; one of each is enough.
-    contexts = beside_text(unsettled, F.size("x") * 24, "inner").select("text", "x").mapInArrow(_contexts(length), "h long, c long, a int, ctx binary")
-    contexts = stage(contexts.join(kinds.select("h", "c", "d").where("d > 1"), ["h", "c"]), "contexts")
-    few = contexts.where(F.col("d") <= HOT).select("h", "c", "a", "ctx").dropDuplicates(["h", "c"])
-    few = few.repartition("h").sortWithinPartitions("h").mapInArrow(_construct(length), "h long, c long, lo int, hi int")
-    hot = stage(contexts.where(F.col("d") > HOT).select("h", "c", "a", "ctx").mapInArrow(_strings(length), "s1 long, s2 long, h long, c long, lo int"), "strings")
+    def contexts(test) -> DataFrame:
+        marks = unsettled.select("dk", F.filter("x", test).alias("x")).where(F.size("x") > 0)
+        return beside_text(marks, F.size("x") * 28, "inner").select("text", "x").mapInArrow(_contexts(length), "h long, c long, a int, ctx binary")
+
+    # Rows equal in id and text have one key and give its contexts once each; the construction takes one of them.
+    few = contexts(lambda x: x["d"] <= HOT).repartition("h").sortWithinPartitions("h", "c").mapInArrow(_construct(length), "h long, c long, lo int, hi int")
+    few = stage(few, "few")
+    hot = stage(contexts(lambda x: x["d"] > HOT).mapInArrow(_strings(length), "s1 long, s2 long, h long, c long, lo int"), "strings")
     twice = hot.groupBy("s1", "s2").agg(F.min(F.struct("h", "c")).alias("f"), F.max(F.struct("h", "c")).alias("l")).where("f <> l").select("s1", "s2")
     many = hot.join(twice, ["s1", "s2"]).select("h", "c", "lo", (F.col("lo") + length).alias("hi"))
     once = kinds.where("n = 1").select("h", "c", "at.dk", "at.pos")

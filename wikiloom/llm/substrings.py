@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from .common import stage
 
 #: Bytes of an anchor, contexts that one construction holds, distinct contexts of an anchor over which its strings are
-#: counted by hash instead, bytes of text worked on at once, and bytes of marks up to which they are broadcast.
-ANCHOR, CONTEXTS, HOT, SLAB, BROADCAST_BYTES = 32, 16384, 2048, 1 << 20, 24 << 20
+#: counted by hash instead (about 1.5 KB of a worker's memory each), bytes of text worked on at once, and bytes of marks
+#: up to which they are broadcast.
+ANCHOR, CONTEXTS, HOT, SLAB, BROADCAST_BYTES = 32, 16384, 65536, 1 << 20, 24 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -137,7 +138,8 @@ def repeated_starts(group: np.ndarray, a: np.ndarray, ctx: list[bytes], length:
         rows[j, left - n : left - n + len(x)] = np.frombuffer(x, np.uint8)
     flags = np.zeros((m, left + 1), bool)
     with tempfile.TemporaryFile() as columns:
-        columns.write(np.ascontiguousarray(rows.T[::-1]).tobytes())
+        for t in range(width, 0, -16):
+            columns.write(np.ascontiguousarray(rows[:, max(0, t - 16) : t].T[::-1]))
         del rows
         columns.seek(0)
         order, common = np.arange(m), np.zeros(m + 1, np.int32)
@@ -167,11 +169,10 @@ def _construct(length: int):
         hs = np.array(h, np.int64)
         group = np.cumsum(np.diff(hs, prepend=hs[:1]) != 0)
         flags = repeated_starts(group.astype(np.int64), np.array(a), ctx, length)
-        edge = np.diff(flags.astype(np.int8), axis=1, prepend=0, append=0)
-        row, lo = np.nonzero(edge == 1)
-        hi = np.nonzero(edge == -1)[1]
-        cs = np.array(c, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(hs[row]), pa.array(cs[row]), pa.array((lo - left).astype(np.int32)), pa.array((hi - 1 - left + length).astype(np.int32))], names=["h", "c", "lo", "hi"])
+        # All strings of a context hold its anchor: what they cover reaches from the first one's start to the last one's end.
+        row = np.flatnonzero(flags.any(axis=1))
+        lo, last = flags[row].argmax(axis=1), left - flags[row, ::-1].argmax(axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(hs[row]), pa.array(np.array(c, np.int64)[row]), pa.array((lo - left).astype(np.int32)), pa.array((last - left + length).astype(np.int32))], names=["h", "c", "lo", "hi"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, c, a, ctx = [], [], [], []
@@ -246,7 +247,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     or further on in the same. Strings are judged on the input. Exact.
 
     1. Anchors are chosen in every string (see ``anchors``) and counted by hash: a string can only be repeated where its
-       anchor is. 2. Contexts (all strings around an anchor) that occur twice are repeated as a whole. 3. The distinct
+       anchor is, and anchors that occur once go. 2. Contexts (all strings around an anchor) that occur twice are repeated as a whole. 3. The distinct
        contexts of an anchor with several are compared by column-wise construction (``repeated_starts``); anchors with
        over HOT of them, by counting their strings' hashes with map-side sums, so that no anchor's contexts meet in one
        task. 4. Runs are merged per document and cut out.
@@ -258,11 +259,13 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     raw = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).cast("binary").alias("text"))
     raw = raw.withColumn("dk", F.xxhash64("doc_id", "text"))
     found = stage(raw.select("dk", "text").mapInArrow(_find(length), "dk long, pos int, h long, c long"), "anchors")
-    kinds = found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("dk", "pos")).alias("at"))
-    kinds = stage(kinds, "kinds")
-    shared = kinds.groupBy("h").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("d")).where("total > 1")
-    kinds = stage(kinds.join(shared, "h").where("n > 1 or d > 1").select("h", "c", "n", "at", "d"), "kinds")
-    unsettled = kinds.where("d > 1").select("at.dk", F.struct("at.pos", "h", "c", "d").alias("x")).groupBy("dk").agg(F.collect_list("x").alias("x"))
+    # Most anchors stand alone: they go before anything else is known of them than their hash.
+    shared = stage(found.groupBy("h").agg(F.count(F.lit(1)).alias("total")).where("total > 1").select("h"), "shared")
+    small = shared.count() * 16 <= BROADCAST_BYTES
+    found = stage(found.join(F.broadcast(shared) if small else shared, "h", "left_semi").select("dk", "pos", "h", "c"), "anchors")
+    kinds = stage(found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("dk", "pos")).alias("at")), "kinds")
+    unlike = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where("d > 1")
+    unsettled = kinds.join(unlike, "h").select("at.dk", F.struct("at.pos", "h", "c", "d").alias("x")).groupBy("dk").agg(F.collect_list("x").alias("x"))
     unsettled = stage(unsettled, "unsettled")
 
     def beside_text(marks: DataFrame, size, how: str) -> DataFrame:
@@ -277,8 +280,9 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     few = contexts(lambda x: x["d"] <= HOT).repartition("h").sortWithinPartitions("h", "c").mapInArrow(_construct(length), "h long, c long, lo int, hi int")
     few = stage(few, "few")
     hot = stage(contexts(lambda x: x["d"] > HOT).mapInArrow(_strings(length), "s1 long, s2 long, h long, c long, lo int"), "strings")
-    twice = hot.groupBy("s1", "s2").agg(F.min(F.struct("h", "c")).alias("f"), F.max(F.struct("h", "c")).alias("l")).where("f <> l").select("s1", "s2")
-    many = hot.join(twice, ["s1", "s2"]).select("h", "c", "lo", (F.col("lo") + length).alias("hi"))
+    # A string at a place fixes the anchor, so c alone tells its contexts apart.
+    twice = hot.groupBy("s1", "s2").agg(F.min("c").alias("f"), F.max("c").alias("l")).where("f <> l").select("s1", "s2")
+    many = hot.join(twice, ["s1", "s2"]).groupBy("h", "c").agg(F.min("lo").alias("lo"), (F.max("lo") + length).alias("hi"))
     once = kinds.where("n = 1").select("h", "c", "at.dk", "at.pos")
     single = few.unionByName(many).join(once, ["h", "c"]).select("dk", (F.col("pos") + F.col("lo")).alias("lo"), (F.col("pos") + F.col("hi")).alias("hi"))
     several = found.join(kinds.where("n > 1").select("h", "c"), ["h", "c"]).select("dk", F.greatest(F.col("pos") - left, F.lit(0)).alias("lo"), (F.col("pos") + length).alias("hi"))

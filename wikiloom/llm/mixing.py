@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -86,8 +86,13 @@ def targets(by_source: DataFrame, weights: tuple[int, ...], cap: int) -> DataFra
     return t.withColumn("target", F.least(F.col("_cap"), F.col("_w") * F.coalesce("_lambda", F.lit(0.0)))).drop("_w", "_cap", "_level", "_lambda")
 
 
+def row_hash(doc_id: Column, text: Column, seed: int = 17) -> Column:
+    """Seeded hash that orders rows and names them: rows of equal id and text share it."""
+    return F.xxhash64(F.lit(seed), doc_id, text)
+
+
 def mix_to_targets(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken.
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken, row_hash.
 
     size: words ``[^\\x20\\x09-\\x0D]+`` of the text (null text: 0). A source whose target is q times its size and a rest
     takes every document q times and, for the rest, documents chosen by length count (see ``fit``) in seeded hash order; what
@@ -96,7 +101,7 @@ def mix_to_targets(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: i
     take nothing; an empty table gives no rows; other columns are ignored. Reruns give the same rows.
     """
     size = F.coalesce(F.regexp_count(docs[text_col].cast("string"), F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"), size.alias("size"), F.xxhash64(F.lit(seed), docs[id_col], docs[text_col]).alias("_h"))
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"), size.alias("size"), row_hash(docs[id_col], docs[text_col], seed).alias("_h"))
     rows = stage(rows, "mix")
     lengths = rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     by_source = lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -110,4 +115,4 @@ def mix_to_targets(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: i
     plan = plan.withColumn("_null", F.col("_s").isNull()).withColumn("_key", F.coalesce("_s", F.lit(""))).withColumnRenamed("_n", "size").drop("_s")
     at = ranked(rows, ["_key", "_null", "size"], [F.col("_h"), F.col("doc_id")], F.col("_h"), "_rank")
     out = at.join(plan, ["_key", "_null", "size"]).withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(F.col("_whole") + (F.col("_rank") < F.col("_pick")).cast("int")))
-    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), F.col("_h").alias("row_hash"))

@@ -1,8 +1,8 @@
 """The corpus pipeline: language ID, near-dedup, decontamination, mixing, sharding.
 
 Each stage takes the documents that the stage before it kept, and its decisions take effect: all but the last return the
-columns of ``documents``. Rows that share a doc_id are one document to the filters. Null ids are kept by no filter that
-needs to tell documents apart.
+columns of ``documents``. Rows that share a doc_id are one document to the filters; rows with a null doc_id are
+documents of their own, which near-dedup and decontamination leave in.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from wikiloom.llm.common import stage
 from wikiloom.llm.decontaminate import digest, find_contamination
 from wikiloom.llm.language import fit, identify
 from wikiloom.llm.minhash import near_duplicates
-from wikiloom.llm.mixing import mix_to_targets
+from wikiloom.llm.mixing import mix_to_targets, row_hash
 from wikiloom.llm.sharding import shard_documents
 
 #: Benchmark items whose windows a document must hold to be dropped, and the least share of its words inside them.
@@ -30,21 +30,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id"])
+    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    kept = docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    return kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window."""
     found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaks = digest(found).where((F.col("n_items") >= LEAK_ITEMS) & (F.col("n_hit") >= LEAK_SHARE * F.col("n_words"))).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    leaks = digest(found).where((F.col("n_items") >= LEAK_ITEMS) & (F.col("n_hit") >= LEAK_SHARE * F.col("n_words"))).select(F.col("doc_id").alias("leak")).distinct()
+    return docs.join(leaks, docs["doc_id"] == leaks["leak"], "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    copies = mix_to_targets(docs).groupBy("doc_id").agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    return docs.join(copies, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    taken = mix_to_targets(docs).groupBy("row_hash").agg(F.max("copies").alias("times")).where("times > 0")
+    rows = docs.join(taken, row_hash(docs["doc_id"], docs["text"]) == taken["row_hash"])
+    return rows.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.explode(F.sequence(F.lit(1), taken["times"]))).select("row.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -29,7 +30,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def unstage(*staged: DataFrame) -> None:
+    """Delete tables that ``stage`` wrote and that nothing reads any more, and let go of the shuffles that made them."""
+    for df in staged:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df._staged_at)
+        path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    staged[0].sparkSession._jvm.System.gc()
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -9,15 +9,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import stage, unstage
 
 #: Bytes of an anchor, contexts that one construction holds, distinct contexts of an anchor over which its strings are
-#: counted by hash instead (about 1.5 KB of a worker's memory each), bytes of text worked on at once, and bytes of marks
-#: up to which they are broadcast.
-ANCHOR, CONTEXTS, HOT, SLAB, BROADCAST_BYTES = 32, 16384, 65536, 1 << 20, 24 << 20
+#: counted by hash instead (about 1.5 KB of a worker's memory each), and bytes of text worked on at once.
+ANCHOR, CONTEXTS, HOT, SLAB = 32, 16384, 65536, 1 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -100,9 +100,16 @@ def _find(length: int):
     return run
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compresses the last column: texts are what weighs most in the shuffles."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([pack(t.as_py()) for t in b.columns[-1]], pa.binary())], names=b.schema.names)
+
+
 def _contexts(length: int):
-    """(dk, text, at: list of (pos, h, c)) to (h, c, a, ctx): the bytes around each anchor, a of them before it."""
-    left = length - ANCHOR
+    """(packed text, at: list of (pos, h, c)) to (h, c, a, ctx): the bytes around each anchor, a of them before it."""
+    left, unpack = length - ANCHOR, zstandard.decompress
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -110,7 +117,7 @@ def _contexts(length: int):
                 b = whole.slice(lo, 50)
                 h, c, a, ctx = [], [], [], []
                 for t, at in zip(b.column(0), b.column(1)):
-                    t = t.as_py()
+                    t = unpack(t.as_py())
                     for x in at.as_py():
                         p = x["pos"]
                         h.append(x["h"])
@@ -229,7 +236,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b = whole.slice(lo, 200)
             n, gone, kept = [], [], []
             for t, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                at, parts, spans = 0, [], spans or []
+                t = zstandard.decompress(t)
+                # A context may end with its text: the last run is cut to the text's length.
+                at, parts, spans = 0, [], [min(x, len(t)) for x in spans or []]
                 for x, y in zip(spans[::2], spans[1::2]):
                     parts.append(t[at:x])
                     at = y
@@ -247,10 +256,10 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     or further on in the same. Strings are judged on the input. Exact.
 
     1. Anchors are chosen in every string (see ``anchors``) and counted by hash: a string can only be repeated where its
-       anchor is, and anchors that occur once go. 2. Contexts (all strings around an anchor) that occur twice are repeated as a whole. 3. The distinct
-       contexts of an anchor with several are compared by column-wise construction (``repeated_starts``); anchors with
-       over HOT of them, by counting their strings' hashes with map-side sums, so that no anchor's contexts meet in one
-       task. 4. Runs are merged per document and cut out.
+       anchor is, and anchors that occur once go. 2. Contexts (all strings around an anchor) that occur twice are
+       repeated as a whole. 3. The distinct contexts of an anchor with several are compared by column-wise construction
+       (``repeated_starts``); anchors with over HOT of them, by counting their strings' hashes with map-side sums, so
+       that no anchor's contexts meet in one task. 4. Runs are merged per document and cut out.
 
     Null texts count as empty; texts shorter than ``length`` stay as they are; rows equal in id and text are copies of
     each other and both go; ids may be null or repeated; an empty table gives no rows; other columns are ignored.
@@ -261,25 +270,25 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     found = stage(raw.select("dk", "text").mapInArrow(_find(length), "dk long, pos int, h long, c long"), "anchors")
     # Most anchors stand alone: they go before anything else is known of them than their hash.
     shared = stage(found.groupBy("h").agg(F.count(F.lit(1)).alias("total")).where("total > 1").select("h"), "shared")
-    small = shared.count() * 16 <= BROADCAST_BYTES
-    found = stage(found.join(F.broadcast(shared) if small else shared, "h", "left_semi").select("dk", "pos", "h", "c"), "anchors")
+    near = stage(found.join(shared, "h", "left_semi").select("dk", "pos", "h", "c"), "anchors")
+    unstage(found, shared)
+    found = near
     kinds = stage(found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("dk", "pos")).alias("at")), "kinds")
     unlike = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where("d > 1")
     unsettled = kinds.join(unlike, "h").select("at.dk", F.struct("at.pos", "h", "c", "d").alias("x")).groupBy("dk").agg(F.collect_list("x").alias("x"))
     unsettled = stage(unsettled, "unsettled")
 
-    def beside_text(marks: DataFrame, size, how: str) -> DataFrame:
-        total = marks.agg(F.sum(size + 16)).first()[0] or 0
-        return raw.join(F.broadcast(marks) if total <= BROADCAST_BYTES else marks, "dk", how)
+    packed = raw.select("doc_id", "dk", "text").mapInArrow(_pack, "doc_id long, dk long, text binary")
 
     def contexts(test) -> DataFrame:
         marks = unsettled.select("dk", F.filter("x", test).alias("x")).where(F.size("x") > 0)
-        return beside_text(marks, F.size("x") * 28, "inner").select("text", "x").mapInArrow(_contexts(length), "h long, c long, a int, ctx binary")
+        return packed.join(marks, "dk").select("text", "x").mapInArrow(_contexts(length), "h long, c long, a int, ctx binary")
 
     # Rows equal in id and text have one key and give its contexts once each; the construction takes one of them.
     few = contexts(lambda x: x["d"] <= HOT).repartition("h").sortWithinPartitions("h", "c").mapInArrow(_construct(length), "h long, c long, lo int, hi int")
     few = stage(few, "few")
     hot = stage(contexts(lambda x: x["d"] > HOT).mapInArrow(_strings(length), "s1 long, s2 long, h long, c long, lo int"), "strings")
+    unstage(unsettled)
     # A string at a place fixes the anchor, so c alone tells its contexts apart.
     twice = hot.groupBy("s1", "s2").agg(F.min("c").alias("f"), F.max("c").alias("l")).where("f <> l").select("s1", "s2")
     many = hot.join(twice, ["s1", "s2"]).groupBy("h", "c").agg(F.min("lo").alias("lo"), (F.max("lo") + length).alias("hi"))
@@ -288,7 +297,5 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     several = found.join(kinds.where("n > 1").select("h", "c"), ["h", "c"]).select("dk", F.greatest(F.col("pos") - left, F.lit(0)).alias("lo"), (F.col("pos") + length).alias("hi"))
     spans = single.unionByName(several).groupBy("dk").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
     spans = stage(spans.mapInArrow(_merge, "dk long, spans array<int>"), "spans")
-    out = beside_text(spans, F.size("spans") * 4, "left").select("doc_id", "text", "spans")
-    # A context may end with its text: the last run is cut to the text's length.
-    clip = F.transform("spans", lambda x: F.least(x, F.length("text")))
-    return out.select("doc_id", "text", clip.alias("spans")).mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    unstage(few, hot, kinds, found)
+    return packed.join(spans, "dk", "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")

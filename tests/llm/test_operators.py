@@ -187,6 +187,8 @@ def test_decontamination_blocks(spark, docs, monkeypatch):
         ("<p>Only a paragraph.", "Only a paragraph."),
         ("<html><head><title>T</title><script>var t='</p>';</script></head><body><header>Site</header><article><h1>Head</h1><p>One &amp; <b>t</b>wo,<br>three &eacute;.<p>Four,\n five.</article><aside>Side</aside><footer>Foot</footer>", "Head One & two, three é. Four, five."),
         ("<body><div class='menu'>Menu</div><div id=content><h2>H</h2><p>Long text, with points. And more.</p><p>Short.</p></div><div class='cookie-notice'><p>We use cookies, please agree to this text, which is long.</p></div><form><p>Subscribe</p></form><div class=comments><p>Nice, I agree.</p></div></body>", "H Long text, with points. And more. Short."),
+        ("<body class='has-sidebar'><div class='content with-sidebar'><h2 class='section-header'>H</h2><p>Long text, with points.</div><div class=sideBar><p>Side text, long enough to count.</div><ol class=commentlist><li>I agree, with all of it.</ol>", "H Long text, with points."),
+        ("<main><article class='post'><p>Long text, with points. And more.</p><article class='comment'><p>I disagree, strongly.</p></article></article></main>", "Long text, with points. And more."),
     ],
 )
 def test_extraction(page, text):

@@ -21,7 +21,18 @@ BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dia
 CLOSED_BY_BLOCK = frozenset(["p"])
 SAME_CLOSES = frozenset("li dt dd tr td th option thead tbody".split())
 # Words of class and id names that mark what is not the article.
-_BOILER_NAME = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|adv|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|newsletter|subscri\w*|popup|modal|overlay|sidebar|side|aside|widget|comments?|disqus|repl(?:y|ies)|respond|menu|nav|navbar|navigation|breadcrumbs?|share|sharing|social|related|recommend\w*|footer|header|masthead|topbar|toolbar|login|signup|search|pagination|pager|skip|copyright|legal|disclaimer|tags)(?=$|[\s_-])", re.I)
+_BOILER_NAME = re.compile(
+    r"(?:^|[_-])(?:ads?|ads?(?:box|block|slot|unit|sense|container|wrapper)|advert\w*|adv|sponsor\w*|promo\w*|banners?|cookies?\w*|consent|gdpr|notices?|newsletter\w*|subscri\w*|popup|modal|overlay|sidebars?|side|aside|widgets?"
+    r"|comments?|comments?(?:list|area|form|section|thread)|disqus|repl(?:y|ies)|respond|(?:top|left|right|site|page|sub|global)?(?:menu|nav|navbar|footer|header)|navigation|breadcrumbs?|share|sharing|social|related|recommend\w*"
+    r"|masthead|topbar|toolbar|login|signup|search|pagination|pager|skip|copyright|legal|disclaimer|tags)\d*(?=$|[_-])",
+    re.I,
+)
+_COMMENT = re.compile(r"(?:.*[_-])?(?:comment|reply)(?:[_-].*)?", re.I)
+# Names of content elements; an element with one is not boilerplate, whatever its other names ("content with-sidebar").
+CONTENT_NAMES = frozenset("content article post main entry story main-content article-body article-content post-body post-content entry-content story-body".split())
+#: Names that only say what the page has elsewhere.
+_ABOUT = ("has-", "with-", "no-", "without-")
+UNNAMED = frozenset("html body main h1 h2 h3 h4 h5 h6 th tr thead".split())
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=\s|/|$)""", re.I)
 _PUNCT = re.compile(r"[.,;:!?…。、，！？；：]")
 #: A path is content when its fused score reaches this share of the best path's.
@@ -29,12 +40,19 @@ THRESHOLD = 0.1
 SMOOTH = 1.0
 
 
+def _boiler_name(tag: str, value: str) -> bool:
+    names = [re.sub(r"(?<=[a-z])(?=[A-Z])", "-", n) for n in value.split() if not n.lower().startswith(_ABOUT)]
+    if tag == "article":
+        return any(map(_COMMENT.fullmatch, names))
+    return tag not in UNNAMED and not CONTENT_NAMES.intersection(n.lower() for n in names) and any(map(_BOILER_NAME.search, names))
+
+
 def _boiler(tag: str, attrs: str) -> bool:
     if not attrs:
         return False
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main") and _BOILER_NAME.search(value):
+        if name in ("class", "id") and _boiler_name(tag, value):
             return True
         if name == "role" and value.lower() in BOILER_ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
@@ -97,7 +115,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], tuple[int, ...], str]]:
             end_block()
             count += 1
             inside = off[-1] if off else False
-            # A header or footer of the article itself is still a header or footer; only its headings count as text.
+            # A header or footer of the article itself is still a header or footer.
             path.append(tag)
             ids.append(count)
             off.append(inside or tag in BOILER or _boiler(tag, attrs))

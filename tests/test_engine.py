@@ -74,6 +74,7 @@ def test_links():
     cats: list = []
     assert links("a [[Category:C|k]] [[:Category:C]] [[:Category:C|d]]", categories=cats)[0] == "a  Category:C d" and cats == [2]
     assert [x["loc"] for x in links("xy [[A]] [[01-02]]")[1]] == [3, 3 + 21]
+    assert [x["anchor"] for x in links("a[[A]]b[[A]] é[[A|x]]")[1]] == ["aAb", "A", "éx"] and links("x" * 200000)[1] == []
     wiki: list = []
     text = links("[[Memoryalpha:q|r]]", interwiki=wiki)[0]
     assert clean_text(text, wiki, True) == '<w namespace="Memoryalpha" title="Q">r</w>'
@@ -85,6 +86,7 @@ def test_urls_and_text():
     text, links, bare = extract_urls("[http://a.b c d] http://e/f. Http://g [bad://x y]")
     assert [x["url"] for x in links] == ["http://a.b", "http://e/f."] and bare == ["http://e/f."] and text == "c d  Http://g [bad://x y]"
     assert strip_templates("a{{b{{c}}}}d{{e") == "a d{{e" and strip_templates("}}x{{y}}") == "}}x "
+    assert strip_templates("}}" * 5000 + "{{a}}") == "}}" * 5000 + " "
     assert clean_text("'''b''' ''i'' &nbsp; <b>x</b>\n \n\n<br/>y {| a {| b |} c |}z") == "b i    x\n\ny \nz"
 
 

@@ -19,25 +19,12 @@ def _fix(pattern: re.Pattern, to: str, text: str) -> str:
 
 
 def strip_templates(text: str) -> str:
-    """Innermost {{...}} to blanks until none is left, by scanning."""
+    """Innermost {{...}} to blanks until none is left, by scanning; closing braces without a start stay."""
     while True:
-        end = text.find("}}")
-        start = text.rfind("{{", 0, end) if end >= 0 else -1
-        if end < 0:
-            return text
-        if start < 0:
-            head, text = text[: end + 2], text[end + 2 :]
-            return head + strip_templates(text) if "{{" in text else head + text
         out, pos = [], 0
-        while True:
-            end = text.find("}}", pos)
-            start = text.rfind("{{", pos, end) if end >= 0 else -1
-            if end < 0:
-                break
-            if start < 0:
-                out.append(text[pos : end + 2])
-            else:
-                out.append(text[pos:start] + " ")
+        while (end := text.find("}}", pos)) >= 0:
+            start = text.rfind("{{", pos, end)
+            out.append(text[pos : end + 2] if start < 0 else text[pos:start] + " ")
             pos = end + 2
         new = "".join(out) + text[pos:]
         if new == text:

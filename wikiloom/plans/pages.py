@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import SiteConfig
 from ..functions import text as T
 from ..operators.page import transform_page
+from ..sources.staging import stage
 from .prescan import Lookups, ns_ok, titled
 
 LINK = "STRUCT<anchor: STRING, loc: INT, target_id: BIGINT, target_ns: STRING, target_title: STRING>"
@@ -22,16 +21,6 @@ PARSED = (
 )
 #: Bytes of the lookup table up to which every task gets all of it; beyond, pages ask for the titles they need.
 BROADCAST_BYTES = 64 << 20
-#: Pages that ask get answers so many times at most: each inclusion level can bring new names.
-ROUNDS = 40
-
-
-def _stage(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
-    path = f"{path}/pages-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def _parse(known: tuple[str, ...], language: dict[str, str], cfg: SiteConfig, urls: bool, shared):
@@ -89,24 +78,25 @@ def transform(raw: DataFrame, lookups: Lookups, cfg: SiteConfig, urls: bool = Tr
     fields = "id BIGINT, ns STRING, name STRING, full STRING, timestamp STRING, org_length INT, is_stub BOOLEAN, is_disambig BOOLEAN"
     schema = f"{fields}, asked ARRAY<STRING>, disambig_links ARRAY<ARRAY<{LINK}>>, templates ARRAY<STRUCT<template_id: BIGINT, params: MAP<STRING, STRING>>>, external_links ARRAY<STRUCT<url: STRING, anchor: STRING>>, bare_urls ARRAY<STRING>, wiki_links ARRAY<{LINK}>, interwiki ARRAY<STRUCT<ns: STRING, title: STRING>>, related ARRAY<BIGINT>, categories ARRAY<BIGINT>, text STRING"
     answer = "ARRAY<STRUCT<title: STRING, id: BIGINT, body: STRING>>"
-    lookup = _stage(lookup)
+    lookup = stage(lookup)
     size = lookup.agg(F.sum(F.octet_length("title") + F.coalesce(F.octet_length("body"), F.lit(0)) + 100)).first()[0] or 0
     if size <= broadcast_bytes:
         shared = spark.sparkContext.broadcast({r.title: (r.id, r.body) for r in lookup.toLocalIterator()})
         done = base.withColumn("answers", F.array().cast(answer)).mapInPandas(_parse(lookups.known, language, cfg, urls, shared), schema)
     else:
-        todo = _stage(base.withColumn("page_key", F.monotonically_increasing_id()).withColumn("answers", F.array().cast(answer)))
+        todo = stage(base.withColumn("page_key", F.monotonically_increasing_id()).withColumn("answers", F.array().cast(answer)))
         done = None
         keyed = f"{schema}, page_key BIGINT".replace("is_disambig BOOLEAN,", "is_disambig BOOLEAN, page_key BIGINT,").removesuffix(", page_key BIGINT")
-        for _ in range(ROUNDS):
-            tried = _stage(todo.select("id", "ns", "name", "full", "timestamp", "org_length", "source", "is_stub", "is_disambig", "page_key", "answers").mapInPandas(_parse(lookups.known, language, cfg, urls, None), keyed))
+        # A page that asks again asks for titles that were not answered before, so this ends.
+        while True:
+            tried = stage(todo.select("id", "ns", "name", "full", "timestamp", "org_length", "source", "is_stub", "is_disambig", "page_key", "answers").mapInPandas(_parse(lookups.known, language, cfg, urls, None), keyed))
             ready = tried.where(F.size("asked") == 0).drop("page_key")
             done = ready if done is None else done.unionByName(ready)
             asked = tried.where(F.size("asked") > 0).select("page_key", F.explode("asked").alias("title"))
             if asked.isEmpty():
                 break
             got = asked.join(lookup, "title", "left").groupBy("page_key").agg(F.collect_list(F.struct("title", "id", "body")).alias("new"))
-            todo = _stage(todo.join(got, "page_key").withColumn("answers", F.concat("answers", "new")).drop("new"))
+            todo = stage(todo.join(got, "page_key").withColumn("answers", F.concat("answers", "new")).drop("new"))
     return done.select(
         "id", F.col("full").alias("title"), "ns", "timestamp", "org_length", F.length("text").alias("new_length"), "is_stub", "is_disambig", (F.col("ns") == cfg.category_ns).alias("is_category"),
         (F.col("ns") == cfg.image_ns).alias("is_image"), "text", "categories", "related", "wiki_links", "interwiki", "external_links", "bare_urls", "disambig_links", "templates",

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ..config import SiteConfig
 from ..functions import text as T
 from ..sources.dump import first_of_id
+from ..sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -47,12 +48,13 @@ def known_names(header: list[str], cfg: SiteConfig) -> tuple[str, ...]:
     return tuple(sorted({n[:1].upper() + n[1:].lower() for n in header if n} | set(cfg.interwiki_ns)))
 
 
-def titled(raw: DataFrame, known: tuple[str, ...], cfg: SiteConfig) -> DataFrame:
+def titled(raw: DataFrame, known: tuple[str, ...], cfg: SiteConfig, drop_empty: bool = True) -> DataFrame:
     """raw with ns, name (title without namespace), full title and redirect link; pages without title dropped."""
     split = T.split_title(F.col("title"), list(known), cfg)
     out = raw.withColumn("_t", split).withColumn("ns", F.col("_t.ns")).withColumn("name", F.col("_t.title"))
     out = out.withColumn("full", T.let(F.col("_t"), T.full_title)).drop("_t")
-    return out.where(F.length("full") > 0).withColumn("redirect", T.redirect_target(F.col("text"), cfg))
+    out = out.where(F.length("full") > 0) if drop_empty else out
+    return out.withColumn("redirect", T.redirect_target(F.col("text"), cfg))
 
 
 def ns_ok(ns, wanted: tuple[str, ...]):
@@ -63,7 +65,11 @@ def ns_ok(ns, wanted: tuple[str, ...]):
 def prescan(raw: DataFrame, header: list[str], cfg: SiteConfig) -> Lookups:
     known = known_names([*header, cfg.category_ns, cfg.template_ns, cfg.image_ns], cfg)
     totals = raw.agg(F.count(F.lit(1)).alias("pages"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars"))
-    pages = titled(first_of_id(raw), known, cfg).where(ns_ok(F.col("ns"), cfg.prescan_ns))
+    # Dumps are parsed once, and of their text no more than redirects and template bodies is shuffled or kept.
+    slim = titled(raw, known, cfg, drop_empty=False)
+    body = F.when((F.col("ns") == cfg.template_ns) & F.col("redirect").isNull(), T.template_body(F.col("text")))
+    slim = first_of_id(slim.select("part", "pos", "id", "ns", "full", "redirect", body.alias("body")))
+    pages = stage(slim.where((F.length("full") > 0) & ns_ok(F.col("ns"), cfg.prescan_ns)), "prescan")
     # Input order decides between equal titles: the first page, the last redirect.
     nth = lambda order: F.row_number().over(Window.partitionBy("full").orderBy(*order))
     plain = pages.where("redirect is null").withColumn("_n", nth([F.col("part"), F.col("pos")])).where("_n = 1")
@@ -72,7 +78,7 @@ def prescan(raw: DataFrame, header: list[str], cfg: SiteConfig) -> Lookups:
     # A redirect after a page of the same title is dropped with it.
     moved = moved.join(plain.select("full", F.struct("part", "pos").alias("_first")), "full", "left").where(F.col("_first").isNull() | (F.struct("part", "pos") < F.col("_first")))
     redirects = moved.withColumn("_n", nth([F.desc("part"), F.desc("pos")])).where("_n = 1").select(F.col("full").alias("from_title"), "to_title")
-    templates = plain.where(F.col("ns") == cfg.template_ns).select("id", F.col("full").alias("title"), T.template_body(F.col("text")).alias("body"))
+    templates = plain.where(F.col("ns") == cfg.template_ns).select("id", F.col("full").alias("title"), "body")
     return Lookups(title2id, redirects, templates, totals, known)
 
 

@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from wikiloom.llm.ann import nearest
+from wikiloom.llm.ann import Model, nearest
 from wikiloom.llm.common import connected_components
 from wikiloom.llm.decontaminate import digest, find_contamination
 from wikiloom.llm.extract import main_text
@@ -279,6 +279,14 @@ def test_neighbours(spark):
     assert [tuple(r)[:3] for r in nearest(two, two.where("vec_id = 0")).collect()] == [(0, 1, 1)]
 
 
+def test_probes_follow_clusters():
+    rng = np.random.default_rng(2)
+    flat = rng.normal(size=(2000, 16))
+    clear = 10 * np.eye(16)[rng.integers(0, 16, 2000)] + rng.normal(size=(2000, 16)) * 0.1
+    few, many = (Model(x, 16, 4).probes(x, x[:100], 20, 0.97) for x in (clear, flat))
+    assert few <= 2 < many <= 16
+
+
 def test_lm_scores(docs, empty):
     texts = [(r[0], (r[1] or "").encode().lower().split()) for r in ROWS]
     one, two, total = Counter(), Counter(), sum(len(t) for _, t in texts)

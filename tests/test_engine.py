@@ -2,6 +2,7 @@
 
 import bz2
 import json
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from wikiloom.plans import queries as Q
 from wikiloom.plans.pages import transform
 from wikiloom.plans.prescan import load, prescan
 from wikiloom.sources import sinks
-from wikiloom.sources.dump import from_columns, part_paths, read_dump, read_namespaces
+from wikiloom.sources.dump import from_columns, part_paths, read_dump, read_header, read_namespaces
 
 EN = SITES["enwiki"]
 KNOWN = frozenset(["Template", "Category", "File", "Talk", *EN.interwiki_ns])
@@ -131,7 +132,27 @@ def test_dump(spark, tmp_path):
     sinks.write_composite(pages, look, str(tmp_path / "composite"))
     tsv = {r.value for r in spark.read.text(str(tmp_path / "legacy/anchor_text")).collect()}
     assert "1\t3\t12\ta&b" in tsv or any(x.startswith("1\t3\t") for x in tsv)
-    assert '<from id="unknown">B</from>' in {r.value for r in spark.read.text(str(tmp_path / "composite/redir.xml")).collect()}
+    legacy, composite = ((lambda name, d=d: "".join(x.read_text() for pattern in ("_header", "part-*", "_trailer") for x in sorted((tmp_path / d / name).glob(pattern)))) for d in ("legacy", "composite"))
+    assert "<redirect>\n<from>\n<id>unknown</id>\n<title>B</title>\n</from>\n<to>\n<id>3</id>\n<title>C</title>\n</to>\n</redirect>\n" in legacy("redir.xml")
+    assert "<name>Template:X</name>\n<id>4</id>\n</template>" in composite("tmpl.xml")
+    gum = composite("gum.xml")
+    assert '<templates>\n<template id="4">\n<incl>\n<param name="1">q</param>\n</incl>\n</template>\n<template id="5">\n<incl></incl>\n</template>\n</templates><text> <a id="3">' in gum and "<external></external>\n<interwiki></interwiki>" in gum
+    for name in ("gum.xml", "redir.xml", "tmpl.xml"):
+        ElementTree.fromstring(composite(name).encode())
+    page = sinks.legacy_xml(pages.where("id = 1")).first().value
+    assert page.endswith(f"<urls>\n</urls>\n<text>\n{got[1].text}\n</text>\n</page>")
+
+
+def test_header(spark, tmp_path):
+    (tmp_path / "d.xml").write_text('<mediawiki version="0.3">\n  <siteinfo>\n    <case>first-letter</case>\n  </siteinfo>\n<page>\n</page>\n</mediawiki>\n')
+    assert read_header(spark, str(tmp_path / "d.xml")) == "<mediawiki>\n  <siteinfo>\n    <case>first-letter</case>\n  </siteinfo>\n"
+
+
+def test_disambig_lines(spark, tmp_path):
+    row = [(9, [[], [(None, "a\tb", 0), (3, "c", 1)]])]
+    pages = spark.createDataFrame(row, "id long, disambig_links array<array<struct<target_id: long, anchor: string, loc: int>>>")
+    sinks._tsv(sinks.disambig_rows(pages).select("page_id", F.nullif("entries", F.lit(""))), str(tmp_path / "d"), "none")
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "d")).collect()) == ["9", "9\tundef\ta b\t3\tc"]
 
 
 def test_parts():

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def anchors(pages: DataFrame) -> DataFrame:
     """(target_id, source_id, loc, anchor) of each resolved link to another page; anchors on one line, trimmed."""
     x = pages.select(F.col("id").alias("source_id"), F.explode("wiki_links").alias("l")).where("l.target_id is not null and l.target_id <> source_id")
-    return x.select(F.col("l.target_id").alias("target_id"), "source_id", F.col("l.loc").alias("loc"), F.trim(F.regexp_replace("l.anchor", "[\\r\\n]+", " ")).alias("anchor"))
+    return x.select(F.col("l.target_id").alias("target_id"), "source_id", F.col("l.loc").alias("loc"), F.regexp_replace(F.replace("l.anchor", F.lit("\n"), F.lit(" ")), r"^\s+|\s+$", "").alias("anchor"))
 
 
 def external_anchors(pages: DataFrame) -> DataFrame:

@@ -38,3 +38,13 @@ def from_columns(df: DataFrame) -> DataFrame:
 def first_of_id(raw: DataFrame) -> DataFrame:
     """The first page of each id within a part."""
     return raw.withColumn("_n", F.row_number().over(Window.partitionBy("part", "id").orderBy("pos"))).where("_n = 1").drop("_n")
+
+
+def read_header(spark: SparkSession, path: str, most: int = 2000) -> str:
+    """The dump's lines up to the end of its site information (``most`` lines at most), the root without attributes."""
+    out = []
+    for (line,) in spark.read.text(path).limit(most).toLocalIterator():
+        out.append("<mediawiki>" if line.startswith("<mediawiki ") else line)
+        if "</siteinfo>" in line:
+            return "\n".join(out) + "\n"
+    return "<mediawiki>\n"

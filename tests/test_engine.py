@@ -12,7 +12,7 @@ from wikiloom.functions import text as T
 from wikiloom.functions.register import register
 from wikiloom.operators.clean import clean_text, strip_templates
 from wikiloom.operators.expand import Page, include
-from wikiloom.operators.links import caption, extract_links, extract_urls, normalize_date
+from wikiloom.operators.links import caption, extract_links, extract_urls, gallery_to_links, imagemap_to_links, normalize_date
 from wikiloom.operators.scan import bind_params, mask, split_fields, split_templates, substitute, unmask
 from wikiloom.operators.titles import normalize_title
 from wikiloom.plans import queries as Q
@@ -83,6 +83,17 @@ def test_links():
     assert normalize_date("2 January", EN) == "[[January 2]]" and normalize_date("1999-02-30", EN) is None and normalize_date("1999-02-03", EN) == "[[February 03]], [[1999]]"
 
 
+def test_images():
+    text = "<gallery>\n\t Image:A b.png|[[X]], one  \n  file:C.png\n\tother\n  </gallery>|"
+    assert gallery_to_links(text, EN) == "[[File:A b.png|[[X]], one  ]]\n[[file:C.png]]\n\tother\n  |"
+    text = "<imagemap>\nImage:A.png|cap\n\n# note\npoly 1 2 [[X|x]]\ndesc none\n</imagemap>"
+    assert imagemap_to_links(text, EN) == "[[File:A.png|cap]]\n[[X|x]]\ndesc none\n"
+
+
+def test_headings():
+    assert clean_text("== a == \n===b===\n ==c==\n==d== e\n==f==", encode=True) == "<h1> a </h1> \n<h2>b</h2>\n ==c==\n==d== e\n<h1>f</h1>"
+
+
 def test_urls_and_text():
     text, links, bare = extract_urls("[http://a.b c d] http://e/f. Http://g [bad://x y]")
     assert [x["url"] for x in links] == ["http://a.b", "http://e/f."] and bare == ["http://e/f."] and text == "c d  Http://g [bad://x y]"

@@ -68,5 +68,5 @@ def clean_text(text: str, interwiki: list[dict] | None = None, encode: bool = Fa
     text = _LEFT.sub("", text)
     for n, name in ((5, "h4"), (4, "h3"), (3, "h2"), (2, "h1")):
         q = "=" * n
-        text = re.sub(rf"(?m)^{q}([^\n]*?){q}[ \t]*$", rf"<{name}>\1</{name}>", text)
+        text = re.sub(rf"(?m)^{q}([^\n]*?){q}(?=[^\S\n]*$)", rf"<{name}>\1</{name}>", text)
     return text

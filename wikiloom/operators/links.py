@@ -124,31 +124,26 @@ def extract_urls(text: str) -> tuple[str, list[dict], list[str]]:
     return text, out, list(dict.fromkeys(x["url"] for x in out[n:]))
 
 
-def _alias(line: str, cfg: SiteConfig) -> str:
+def _images_to_links(block: str, cfg: SiteConfig) -> str:
+    """Lines that name an image, in links. White space before a line goes, blank lines too; blanks at its end belong to the link."""
     for a, b in cfg.aliases:
-        line = re.sub(rf"(?im)^(\s*){re.escape(a)}:", rf"\1{b}:", line)
-    return line
+        block = re.sub(rf"(?im)^\s*{re.escape(a)}:", lambda m: f"{b}:", block)
+    return re.sub(rf"(?im)^\s*({re.escape(cfg.image_ns)}:.*)\s*$", lambda m: f"[[{m[1]}]]", block)
 
 
 def gallery_to_links(text: str, cfg: SiteConfig) -> str:
-    def block(m: re.Match) -> str:
-        return re.sub(rf"(?m)^[ \t]*({re.escape(cfg.image_ns)}:[^\n]*?)[ \t]*$", r"[[\1]]", _alias(m[1], cfg))
-
-    return re.sub(r"<gallery>(.*?)</gallery>", block, text, flags=re.S)
+    while (new := re.sub(r"<gallery>(.*?)</gallery>", lambda m: _images_to_links(m[1], cfg), text, flags=re.S)) != text:
+        text = new
+    return text
 
 
 def imagemap_to_links(text: str, cfg: SiteConfig) -> str:
+    """Image maps as links: the image, then of each line the link at its end; comment lines go."""
+
     def block(m: re.Match) -> str:
-        lines = []
-        for line in _alias(m[1], cfg).split("\n"):
-            s = line.strip()
-            if s.startswith("#"):
-                continue
-            if s.startswith(f"{cfg.image_ns}:"):
-                line = f"[[{s}]]"
-            elif found := re.search(r"(\[\[[^\[\]]*\]\])\s*\Z", s):
-                line = found[1]
-            lines.append(line)
-        return "\n".join(lines)
-
-    return re.sub(r"<imagemap>([^<]*)</imagemap>", block, text, flags=re.S)
+        lines = re.sub(r"(?m)^\s*#.*$", "", _images_to_links(m[1], cfg))
+        return re.sub(r"(?m)^.*(\[\[.*\]\])\s*$", r"\1", lines)
+
+    while (new := re.sub(r"<imagemap>([^<]*)</imagemap>", block, text)) != text:
+        text = new
+    return text

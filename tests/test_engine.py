@@ -83,6 +83,15 @@ def test_links():
     assert normalize_date("2 January", EN) == "[[January 2]]" and normalize_date("1999-02-30", EN) is None and normalize_date("1999-02-03", EN) == "[[February 03]], [[1999]]"
 
 
+DATES = [("2 January", "[[January 2]]"), ("30 february", None), ("4 JULY", "[[July 4]]"), ("7-4", "[[July 4]]"), ("07-04", "[[July 04]]"), ("2000-7-4", "[[July 4]], [[2000]]"), ("13-1", None), ("99-1-1", None), ("5 Foo", None), ("2January", None)]
+
+
+def test_dates(spark):
+    assert [normalize_date(x, EN) for x, _ in DATES] == [y for _, y in DATES]
+    df = spark.createDataFrame(DATES, "x string, y string")
+    assert df.where(~T.normalize_date(F.col("x"), EN).eqNullSafe(F.col("y"))).count() == 0
+
+
 def test_images():
     text = "<gallery>\n\t Image:A b.png|[[X]], one  \n  file:C.png\n\tother\n  </gallery>|"
     assert gallery_to_links(text, EN) == "[[File:A b.png|[[X]], one  ]]\n[[file:C.png]]\n\tother\n  |"

@@ -155,10 +155,10 @@ def normalize_date(link: Column, cfg: SiteConfig) -> Column:
     months = F.array(*[F.lit(m) for m in cfg.months])
     days = F.array(*[F.lit(d) for d in MONTH_DAYS])
     first = F.trim(link)
-    word = rf"^([0-9]{{1,2}})\s+({'|'.join(cfg.months)})$"
-    named = F.regexp_extract(first, word, 2)
+    word = r"^([0-9]{1,2})\s+([A-Za-z]+)$"
+    named = F.initcap(F.regexp_extract(first, word, 2))
     day = F.regexp_extract(first, word, 1)
-    numeric = r"^(?:([0-9]{3,4})-)?([0-9]{2})-([0-9]{2})$"
+    numeric = r"^(?:([0-9]{3,4})-)?([0-9]{1,2})-([0-9]{1,2})$"
     year, mm, dd = (F.regexp_extract(first, numeric, i) for i in (1, 2, 3))
     m = F.nullif(mm, F.lit("")).cast("int")
     fits = first.rlike(numeric) & (m >= 1) & (m <= 12) & (dd.try_cast("int") >= 1) & (dd.try_cast("int") <= F.get(days, m - 1))

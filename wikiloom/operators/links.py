@@ -26,10 +26,11 @@ def caption(fields: list[str]) -> str:
 
 def normalize_date(link: str, cfg: SiteConfig) -> str | None:
     link = link.strip()
-    if m := re.fullmatch(rf"([0-9]{{1,2}})\s+({'|'.join(cfg.months)})", link):
-        if 1 <= int(m[1]) <= MONTH_DAYS[cfg.months.index(m[2])]:
-            return f"[[{m[2]} {m[1]}]]"
-    elif m := re.fullmatch(r"(?:([0-9]{3,4})-)?([0-9]{2})-([0-9]{2})", link):
+    if m := re.fullmatch(r"([0-9]{1,2})\s+([A-Za-z]+)", link):
+        name = m[2].capitalize()
+        if name in cfg.months and 1 <= int(m[1]) <= MONTH_DAYS[cfg.months.index(name)]:
+            return f"[[{name} {m[1]}]]"
+    elif m := re.fullmatch(r"(?:([0-9]{3,4})-)?([0-9]{1,2})-([0-9]{1,2})", link):
         month, day = int(m[2]), int(m[3])
         if 1 <= month <= 12 and 1 <= day <= MONTH_DAYS[month - 1]:
             return f"[[{cfg.months[month - 1]} {m[3]}]]" + (f", [[{m[1]}]]" if m[1] else "")

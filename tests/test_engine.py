@@ -198,6 +198,12 @@ def test_refresh(spark, tmp_path):
     assert [(r.id, r.text, r.status) for r in got] == [(1, "new", "updated")]
 
 
+def test_language_names(spark):
+    names = T.language_names(spark)
+    assert [names[c] for c in ("be", "en", "simple", "zh-min-nan")] == ["Беларуская", "English", "Simple English", "Bân-lâm-gú"] and {"haw", "dsb"} <= set(names)
+    assert include("{{#language:be}} {{#language:xx-none}}", Page("P", "", KNOWN, {}.get, names), EN) == "Беларуская xx-none"
+
+
 def test_registered_functions(spark):
     register(spark)
     assert spark.sql("SELECT wl_xml_escape('<a>&'), wl_ucfirst('éa'), wl_is_stub('{{X-Stub}}')").first() == ("&lt;a&gt;&amp;", "Éa", True)

@@ -195,15 +195,50 @@ def link_ids(links: Column) -> Column:
     return F.filter(F.transform(links, lambda x: x["target_id"]), lambda x: x.isNotNull())
 
 
+# Names of wiki language codes that are no language tags, or that locale data lacks.
+WIKI_LANGUAGES = {
+    "als": "Alemannisch",
+    "bat-smg": "Žemaitėška",
+    "be-tarask": "Беларуская (тарашкевіца)",
+    "be-x-old": "Беларуская (тарашкевіца)",
+    "cbk-zam": "Chavacano de Zamboanga",
+    "de-formal": "Deutsch (Sie-Form)",
+    "fiu-vro": "Võro",
+    "ike-cans": "ᐃᓄᒃᑎᑐᑦ",
+    "ike-latn": "inuktitut",
+    "ksh": "Ripoarisch",
+    "map-bms": "Basa Banyumasan",
+    "nds": "Plattdüütsch",
+    "nds-nl": "Nedersaksisch",
+    "pt-br": "Português do Brasil",
+    "roa-rup": "Armãneashce",
+    "roa-tara": "Tarandíne",
+    "ruq-cyrl": "Влахесте",
+    "ruq-grek": "Βλαεστε",
+    "ruq-latn": "Vlăheşte",
+    "simple": "Simple English",
+    "sr-ec": "ћирилица",
+    "sr-el": "latinica",
+    "sr-jc": "ијекавица",
+    "sr-jl": "ijekavica",
+    "tokipona": "Toki Pona",
+    "zh-classical": "古文 / 文言文",
+    "zh-min-nan": "Bân-lâm-gú",
+    "zh-yue": "粵語",
+}
+
+
 def language_names(spark) -> dict[str, str]:
-    """Two-letter codes to the languages' own names, from the JVM's locale data."""
+    """Language codes to the languages' own names: the JVM's locale data, and the wikis' own codes beside it."""
     locale = spark._jvm.java.util.Locale
+    codes = set(locale.getISOLanguages()) | {x.split("-")[0] for x in str(spark._jvm.java.util.Arrays.toString(locale.getAvailableLocales())).strip("[]").replace("_", "-").split(", ")}
     out = {}
-    for code in locale.getISOLanguages():
+    for code in sorted(c for c in codes if c):
         own = locale.forLanguageTag(code)
         name = own.getDisplayLanguage(own)
-        out[code] = name[:1].upper() + name[1:]
-    return out
+        if name and name != code:
+            out[code] = name[:1].upper() + name[1:]
+    return out | WIKI_LANGUAGES
 
 
 def language_name(code: Column, names: dict[str, str]) -> Column:

@@ -228,17 +228,21 @@ WIKI_LANGUAGES = {
 }
 
 
+_names: dict[str, str] = {}
+
+
 def language_names(spark) -> dict[str, str]:
     """Language codes to the languages' own names: the JVM's locale data, and the wikis' own codes beside it."""
-    locale = spark._jvm.java.util.Locale
-    codes = set(locale.getISOLanguages()) | {x.split("-")[0] for x in str(spark._jvm.java.util.Arrays.toString(locale.getAvailableLocales())).strip("[]").replace("_", "-").split(", ")}
-    out = {}
-    for code in sorted(c for c in codes if c):
-        own = locale.forLanguageTag(code)
-        name = own.getDisplayLanguage(own)
-        if name and name != code:
-            out[code] = name[:1].upper() + name[1:]
-    return out | WIKI_LANGUAGES
+    if not _names:
+        locale = spark._jvm.java.util.Locale
+        codes = set(locale.getISOLanguages()) | {x.getLanguage() for x in locale.getAvailableLocales()}
+        for code in sorted(c for c in codes if c):
+            own = locale.forLanguageTag(code)
+            name = own.getDisplayLanguage(own)
+            if name and name != code:
+                _names[code] = name[:1].upper() + name[1:]
+        _names.update(WIKI_LANGUAGES)
+    return dict(_names)
 
 
 def language_name(code: Column, names: dict[str, str]) -> Column:

@@ -16,6 +16,7 @@ from wikiloom.operators.links import caption, extract_links, extract_urls, galle
 from wikiloom.operators.scan import bind_params, mask, split_fields, split_templates, substitute, unmask
 from wikiloom.operators.titles import normalize_title
 from wikiloom.plans import queries as Q
+from wikiloom.plans.diagnostics import rejects
 from wikiloom.plans.pages import transform
 from wikiloom.plans.prescan import load, prescan
 from wikiloom.sources import sinks
@@ -198,6 +199,12 @@ def test_refresh(spark, tmp_path):
     assert [(r.id, r.text, r.status) for r in got] == [(1, "new", "updated")]
 
 
+def test_rejects(spark):
+    rows = [(1, "T", "a"), (2, "t", "b"), (3, "__", "x"), (4, "Talk:Q", "x"), (5, "R", "#REDIRECT [[T]]"), (6, "R", "x"), (7, "T", "#REDIRECT [[R]]"), (7, "V", "x")]
+    raw = from_columns(spark.createDataFrame(rows, "id long, title string, text string")).withColumn("pos", F.when(F.col("title") == "V", 99).otherwise(F.col("pos")))
+    assert sorted(map(tuple, rejects(raw, ["Talk"], EN).collect())) == [(2, "duplicate_title", "T"), (3, "empty_title", ""), (4, "other_namespace", "Talk"), (7, "duplicate_id", "V"), (7, "duplicate_title", "T")]
+
+
 def test_language_names(spark):
     names = T.language_names(spark)
     assert [names[c] for c in ("be", "en", "simple", "zh-min-nan")] == ["Беларуская", "English", "Simple English", "Bân-lâm-gú"] and {"haw", "dsb"} <= set(names)

@@ -15,6 +15,7 @@ from ..functions import text as T
 from ..sources import sinks
 from ..sources.dump import from_columns
 from . import stats, tools
+from .diagnostics import rejects
 from .pages import transform
 from .prescan import Lookups, prescan, redirect_report
 
@@ -345,3 +346,10 @@ def composite_pages(spark, sf):
     raw = from_columns(n.unionByName(spark.range(1).selectExpr("100000L as id", "'Category:Top' as title", "'' as text")))
     x = sinks.composite_xml(_run(spark, raw)[0].where("id < 100000"))
     return x.select(F.xpath_int("value", F.lit("/page/@id")).alias("id"), F.xpath_string("value", F.lit("/page/title")).alias("title"), F.xpath_int("value", F.lit("/page/@category")).alias("n_cats"))
+
+
+@query("SELECT o_orderkey AS page_id, 'duplicate_title' AS code, 'C' || o_custkey AS detail FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders) WHERE n > 1")
+def rejected_pages(spark, sf):
+    """K14, F4 to F6."""
+    o = _t(spark, sf, "orders").selectExpr("o_orderkey as id", "concat('C', o_custkey) as title", "'' as text")
+    return rejects(from_columns(o), HEADER, EN)

@@ -36,19 +36,22 @@ def line_dedup(docs: DataFrame, min_lines: int = 2, id_col: str = "doc_id", text
     is at least that long; the first member of each interval stays, the others are marked, and marked suffixes that touch
     merge to maximal runs. Order between unlike suffixes has no bearing on that, so names are hashes (96 bits), no ranks.
 
-    Null text: no lines, null kept_text; empty text: one empty line. Rows that share a doc_id count as one document: what
-    is marked in one is marked in each; null ids come first. An empty table gives no rows; other columns are ignored.
+    Null text: no lines, null kept_text; empty text: one empty line. Every row is a document of its own, whatever its id:
+    doc_id only orders the copies, null ids first, rows of one id by a hash of their text. An empty table gives no rows;
+    other columns are ignored.
     """
     m = min_lines
-    base = docs.select(docs[id_col].alias("doc_id"), F.split(docs[text_col].cast("string"), "\n", -1).alias("_lines"))
+    # Row numbers hold only for what is written.
+    base = stage(docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("_text"), F.monotonically_increasing_id().alias("_row")), "texts")
+    base = base.select("doc_id", "_row", F.xxhash64("_text").alias("_hash"), F.split("_text", "\n", -1).alias("_lines"))
     pair = lambda x: F.struct(F.xxhash64(x).alias("p"), F.hash(x).alias("q"))
     both = lambda x, y: F.struct(F.xxhash64(x.p, y.p).alias("p"), F.hash(x.q, y.q).alias("q"))
-    at = base.where(F.size("_lines") >= m).select("doc_id", F.posexplode(prefix_names(F.col("_lines"), m, pair, both)).alias("pos", "w"))
-    at = stage(at.select("doc_id", "pos", "w.p", "w.q"), "lines")
-    first = at.groupBy("p", "q").agg(F.min(F.struct("doc_id", "pos")).alias("f"), F.max(F.struct("doc_id", "pos")).alias("l")).where("not (f <=> l)").select("p", "q", "f")
-    later = at.join(first, ["p", "q"]).where(~F.struct("doc_id", "pos").eqNullSafe(F.col("f")))
-    marks = later.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("_at")).withColumnRenamed("doc_id", "_id")
-    out = base.join(marks, F.col("doc_id").eqNullSafe(F.col("_id")), "left").withColumn("_at", F.coalesce("_at", F.array().cast("array<int>")))
+    at = base.where(F.size("_lines") >= m).select("doc_id", "_hash", "_row", F.posexplode(prefix_names(F.col("_lines"), m, pair, both)).alias("pos", "w"))
+    at = stage(at.select("doc_id", "_hash", "_row", "pos", "w.p", "w.q"), "lines")
+    first = at.groupBy("p", "q").agg(F.min(F.struct("doc_id", "_hash", "_row", "pos")).alias("f"), F.count(F.lit(1)).alias("c")).where("c > 1").select("p", "q", F.col("f._row").alias("_first"), F.col("f.pos").alias("_from"))
+    later = at.select("_row", "pos", "p", "q").join(first, ["p", "q"]).where("_row <> _first or pos <> _from")
+    marks = later.groupBy("_row").agg(F.sort_array(F.collect_set("pos")).alias("_at"))
+    out = base.select("doc_id", "_row", "_lines").join(marks, "_row", "left").withColumn("_at", F.coalesce("_at", F.array().cast("array<int>")))
     n, k = F.coalesce(F.size("_lines"), F.lit(0)), F.size("_at")
     start = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("_at", i - 1) + m)
     end = lambda i: F.when(i == k, F.size("_lines")).otherwise(F.get("_at", i))

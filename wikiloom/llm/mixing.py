@@ -9,15 +9,63 @@ from pyspark.sql.window import Window
 
 from .common import ranked, stage
 
-#: Words that the dynamic programme fits at the end; what is above is taken greedily. Bounds its memory, not its result's error.
+#: Words that the greedy pass leaves for the dynamic programme, which fits up to four times as many word by word; documents
+#: longer than that are taken greedily or fitted in larger units, whichever comes nearer.
 DP_WORDS = 16384
 
 
+def _subset(left: dict[int, int], goal: int, unit: int = 1) -> dict[int, int]:
+    """Bounded subset sum over bit sets: the documents whose lengths, rounded up to units, come nearest ``goal`` from below."""
+    goal, items, took = goal // unit, [], {}
+    for n in sorted(left, reverse=True):
+        u = -(-n // unit)
+        c, step = min(left[n], goal // u), 1
+        while c > 0:
+            items.append((n, u, min(step, c)))
+            c -= step
+            step *= 2
+    mask, sets = (1 << (goal + 1)) - 1, [1]
+    for _, u, k in items:
+        sets.append((sets[-1] | sets[-1] << (u * k)) & mask)
+        if sets[-1] >> goal & 1:
+            break
+    at = sets[-1].bit_length() - 1
+    for i in range(len(sets) - 1, 0, -1):
+        if not sets[i - 1] >> at & 1:
+            n, u, k = items[i - 1]
+            took[n] = took.get(n, 0) + k
+            at -= u * k
+    return took
+
+
+def _fill(left: dict[int, int], rest: int, dp_words: int, long_first: bool) -> dict[int, int]:
+    """Documents of ``left`` that fill ``rest``: with ``long_first``, first a fit in units of those too long for the fit by words."""
+    cap, took = 4 * dp_words, {}
+
+    def take(n: int, k: int) -> int:
+        took[n] = took.get(n, 0) + k
+        return n * k
+
+    if long_first:
+        for n, k in _subset({n: c for n, c in left.items() if n > cap}, rest, -(-rest // cap)).items():
+            rest -= take(n, k)
+    # What leaves room for the fit by words, then, as long as that cannot reach the rest, what fits at all.
+    for stop, room in ((dp_words, dp_words // 2), (cap, 0)):
+        for n in sorted(left, reverse=True):
+            if rest <= stop:
+                break
+            rest -= take(n, min(left[n] - took.get(n, 0), max(0, rest - room) // n))
+    for n, k in _subset({n: c - took.get(n, 0) for n, c in left.items()}, min(rest, cap)).items():
+        take(n, k)
+    return took
+
+
 def fit(lengths: dict[int, int], budget: int, dp_words: int = DP_WORDS) -> dict[int, int]:
     """How many documents of each length to take so that their sum comes as near ``budget`` from below as can be found.
 
     First the same share of every length, then the longest that fit until ``dp_words`` remain, then bounded subset sum
-    over bit sets. ``lengths`` maps a length (over 0) to its number of documents.
+    over bit sets. Where documents are longer than the subset sum reaches, a fit of these in larger units is tried as
+    well. ``lengths`` maps a length (over 0) to its number of documents.
     """
     total = sum(n * c for n, c in lengths.items())
     budget = min(budget, total)
@@ -25,31 +73,10 @@ def fit(lengths: dict[int, int], budget: int, dp_words: int = DP_WORDS) -> dict[
         return {}
     took = {n: c * budget // total for n, c in lengths.items()}
     rest = budget - sum(n * c for n, c in took.items())
-    for n in sorted(lengths, reverse=True):
-        if rest <= dp_words:
-            break
-        more = min(lengths[n] - took[n], max(0, rest - dp_words // 2) // n)
-        took[n] += more
-        rest -= more * n
-    goal, items = min(rest, 4 * dp_words), []
-    for n in sorted(lengths, reverse=True):
-        left, step = min(lengths[n] - took[n], goal // n), 1
-        while left > 0:
-            items.append((n, min(step, left)))
-            left -= step
-            step *= 2
-    mask, sets = (1 << (goal + 1)) - 1, [1]
-    for n, k in items:
-        sets.append((sets[-1] | sets[-1] << (n * k)) & mask)
-        if sets[-1] >> goal & 1:
-            break
-    at = sets[-1].bit_length() - 1
-    for i in range(len(sets) - 1, 0, -1):
-        if not sets[i - 1] >> at & 1:
-            n, k = items[i - 1]
-            took[n] += k
-            at -= n * k
-    return took
+    left = {n: lengths[n] - took[n] for n in lengths}
+    long = rest > 4 * dp_words and any(c and 4 * dp_words < n <= rest for n, c in left.items())
+    more = max((_fill(left, rest, dp_words, first) for first in ((False, True) if long else (False,))), key=lambda t: sum(n * k for n, k in t.items()))
+    return {n: k + more.get(n, 0) for n, k in took.items()}
 
 
 def _fit_source(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -12,10 +12,8 @@ from pyspark.sql.window import Window
 
 from .common import stage
 
-#: The classifier is fitted on at most this many labelled rows of each language, and on so many bytes of each.
-FIT_ROWS, FIT_BYTES = 400, 4000
-#: At most so many languages: those with most labelled rows.
-FIT_LANGUAGES = 64
+#: The classifier is fitted on the whole texts of at most this many labelled rows of each language.
+FIT_ROWS = 400
 BUCKETS = 1 << 14
 #: Trigrams of a text are dependent; its evidence counts as that of so many independent ones at most.
 EVIDENCE = 60.0
@@ -32,16 +30,31 @@ def _buckets(text: bytes) -> np.ndarray:
     return ((b[:-2] * np.uint32(0x9E3779B1) ^ b[1:-1] * np.uint32(0x85EBCA6B) ^ b[2:] * np.uint32(0xC2B2AE35)) * np.uint32(0x27D4EB2F)) >> np.uint32(18)
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, text) to the trigram counts of each language."""
+    counts: dict[str, np.ndarray] = {}
+    for batch in batches:
+        for lang, text in zip(batch.column(0), batch.column(1)):
+            counts.setdefault(lang.as_py(), np.zeros(BUCKETS, np.int64))
+            counts[lang.as_py()] += np.bincount(_buckets(text.as_py()), minlength=BUCKETS)
+    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c.astype("<i8").tobytes() for c in counts.values()], pa.binary())], names=["lang", "counts"])
+
+
 def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[list[str], np.ndarray]:
-    """Languages and their log probabilities of trigram buckets, from a bounded sample in hash order."""
+    """All labelled languages and their log probabilities of trigram buckets, from a sample of FIT_ROWS whole texts of each in hash order.
+
+    Texts are counted where they are; the driver gets one row of counts for each language.
+    """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").cast("binary").alias("text"), F.xxhash64(id_col).alias("h")).where("lang is not null and length(text) > 0")
-    top = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(FIT_LANGUAGES).collect()]
-    sample = rows.where(F.col("lang").isin(top)).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= FIT_ROWS)
-    counts = {lang: np.full(BUCKETS, 0.5) for lang in sorted(top)}
-    for r in sample.select("lang", F.substring("text", 1, FIT_BYTES).alias("text")).toLocalIterator():
-        counts[r.lang] += np.bincount(_buckets(bytes(r.text)), minlength=BUCKETS)
-    langs = sorted(counts)
-    return langs, np.array([np.log(counts[x] / counts[x].sum()) for x in langs], np.float32).reshape(len(langs), BUCKETS)
+    sample = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("r") <= FIT_ROWS)
+    found: dict[str, np.ndarray] = {}
+    for r in sample.select("lang", "text").mapInArrow(_count, "lang string, counts binary").toLocalIterator():
+        found[r.lang] = found.get(r.lang, 0) + np.frombuffer(bytes(r.counts), "<i8")
+    langs = sorted(found)
+    table = np.empty((len(langs), BUCKETS), np.float32)
+    for i, x in enumerate(langs):
+        table[i] = np.log((found[x] + 0.5) / (found[x] + 0.5).sum())
+    return langs, table
 
 
 def _score(table: np.ndarray, prepare):
@@ -75,7 +88,7 @@ def identify(rows: DataFrame, langs: list[str], table: np.ndarray, keep: list[st
 
     Null, empty and letterless texts have no evidence: lang is null and they are not accepted. Null declared languages
     and hosts add nothing; ids and repeated rows pass through; an empty table gives no rows; a model without languages
-    accepts nothing. As the ``keep`` columns stay in a struct, their names may be any.
+    accepts nothing. A text can be given any language that ``fit`` saw a labelled row of. As the ``keep`` columns stay in a struct, their names may be any.
     """
     none = F.lit(None).cast("string")
     src = rows.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), (none if declared is None else declared).cast("string").alias("_declared"), (none if host is None else host).cast("string").alias("_host"), F.col(text_col).cast("string").cast("binary").alias("_text"))

@@ -17,8 +17,9 @@ from wikiloom.llm.minhash import near_duplicates
 from wikiloom.llm.mixing import mix_to_targets, row_hash
 from wikiloom.llm.sharding import shard_documents
 
-#: Benchmark items whose windows a document must hold to be dropped, and the least share of its words inside them.
-LEAK_ITEMS, LEAK_SHARE = 1, 0.0
+#: Benchmark items of which a document must hold a full window to be dropped; where it holds only whole items that are
+#: shorter than a window, the least share of its words inside them.
+LEAK_ITEMS, SHORT_SHARE = 1, 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +37,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window."""
+    """Documents without a benchmark window of eight words, and not made up by half or more of shorter benchmark items."""
     found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaks = digest(found).where((F.col("n_items") >= LEAK_ITEMS) & (F.col("n_hit") >= LEAK_SHARE * F.col("n_words"))).select(F.col("doc_id").alias("leak")).distinct()
+    short = (F.col("n_items") >= 1) & (F.col("n_hit") >= SHORT_SHARE * F.col("n_words"))
+    leaks = digest(found, "n_full").where((F.col("n_full") >= LEAK_ITEMS) | short).select(F.col("doc_id").alias("leak")).distinct()
     return docs.join(leaks, docs["doc_id"] == leaks["leak"], "left_anti")
 
 

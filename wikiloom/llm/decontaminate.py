@@ -128,6 +128,7 @@ def _search(by_length: dict, df: dict[int, int], gap: int, near: tuple[int, int]
         lists = {int(t): np.frombuffer(p, "<i4").astype(np.int64) for t, p in zip(pdf["term"][pdf["kind"] == 1], pdf["postings"][pdf["kind"] == 1])}
         hit, close = np.zeros(base[-1] + 1, np.int32), {}
         items: dict[int, set] = {}
+        full: dict[int, set] = {}
         for k, windows in by_length.items():
             for w, ids in windows:
                 starts = exact_hits(lists, w, df)
@@ -136,6 +137,8 @@ def _search(by_length: dict, df: dict[int, int], gap: int, near: tuple[int, int]
                     np.add.at(hit, starts + k, -1)
                     for d in set(np.searchsorted(base, starts, "right") - 1):
                         items.setdefault(int(d), set()).update(ids)
+                        if k == gap:
+                            full.setdefault(int(d), set()).update(ids)
                 if near:
                     for d in set(np.searchsorted(base, near_hits(lists, w, df, *near), "right") - 1):
                         close.setdefault(int(d), set()).update(ids)
@@ -145,17 +148,18 @@ def _search(by_length: dict, df: dict[int, int], gap: int, near: tuple[int, int]
         spans: dict[int, list] = {}
         for d, a, b in zip(of.tolist(), (edge[::2] - base[of]).tolist(), (edge[1::2] - base[of]).tolist()):
             spans.setdefault(d, []).append([a, b])
-        return pd.DataFrame({"row": docs["row"].to_numpy(), "doc_id": docs["doc_id"].array, "n_words": docs["n"].to_numpy(), "spans": [spans.get(i, []) for i in range(len(docs))], "items": [sorted(map(str, items.get(i, ()))) for i in range(len(docs))], "near_items": [sorted(map(str, close.get(i, ()))) for i in range(len(docs))]})
+        return pd.DataFrame({"row": docs["row"].to_numpy(), "doc_id": docs["doc_id"].array, "n_words": docs["n"].to_numpy(), "spans": [spans.get(i, []) for i in range(len(docs))], "items": [sorted(map(str, items.get(i, ()))) for i in range(len(docs))], "near_items": [sorted(map(str, close.get(i, ()))) for i in range(len(docs))], "n_full": [len(full.get(i, ())) for i in range(len(docs))]})
 
     return run
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 8, near: tuple[int, int] | None = None, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """One row per row of ``docs``: row, doc_id, n_words, spans, items, near_items.
+    """One row per row of ``docs``: row, doc_id, n_words, spans, items, near_items, n_full.
 
     Words are lower-cased runs of digits, letters and bytes over 0x7F. A window is n consecutive words of an item, or the
     whole item if it has fewer (but some). spans: the runs [from, to) of words inside exact occurrences of windows; items: the
-    ids of the items that these windows come from, sorted as strings. With ``near`` = (terms,
+    ids of the items that these windows come from, sorted as strings; n_full: how many of these items have a window of all n
+    words there. With ``near`` = (terms,
     slop), near_items has the items of windows whose rarest ``terms`` terms stand within ``slop`` words of the rarest.
 
     Null and empty texts have no words; null item texts have no windows; null and repeated ids are ordinary rows; empty
@@ -170,20 +174,20 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 8, near:
         vocab, by_length = item_windows([(r.i, bytes(r.t)) for r in parts.where(F.col("b") == b).collect()], n)
         index = build_index(docs, vocab, n, id_col, text_col)
         df = {r.term: r.n for r in index.where("kind = 1").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-        got = index.groupBy("segment").applyInPandas(_search(by_length, df, n, near), "row long, doc_id long, n_words long, spans array<array<long>>, items array<string>, near_items array<string>")
+        got = index.groupBy("segment").applyInPandas(_search(by_length, df, n, near), "row long, doc_id long, n_words long, spans array<array<long>>, items array<string>, near_items array<string>, n_full long")
         found = got if found is None else found.unionByName(got)
     if blocks == 1:
         return found
     every = lambda c: F.sort_array(F.flatten(F.collect_list(c))).alias(c)
-    return found.groupBy("row", "doc_id", "n_words").agg(every("spans"), every("items"), every("near_items"))
+    return found.groupBy("row", "doc_id", "n_words").agg(every("spans"), every("items"), every("near_items"), F.sum("n_full").alias("n_full"))
 
 
-def digest(found: DataFrame) -> DataFrame:
-    """The contract's columns: words hit, items found, their digest, and the verdict."""
+def digest(found: DataFrame, *more: str) -> DataFrame:
+    """The contract's columns: words hit, items found, their digest, and the verdict; then the columns ``more``."""
     ids = F.array_join("items", ",")
     # Spans come sorted; those of different blocks of items may overlap.
     start = lambda s, at: F.greatest(F.get(s, F.lit(0)), at)
     step = lambda acc, s: F.struct((acc.n + F.greatest(F.get(s, F.lit(1)) - start(s, acc.at), F.lit(0))).alias("n"), F.greatest(acc.at, F.get(s, F.lit(1))).alias("at"))
     n_hit = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("at")), step, lambda acc: acc.n)
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (F.size("items") >= 2).alias("contaminated"))
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (F.size("items") >= 2).alias("contaminated"), *more)
 

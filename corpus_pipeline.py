@@ -1,8 +1,8 @@
 """The corpus pipeline: language ID, near-dedup, decontamination, mixing, sharding.
 
 Each stage takes the documents that the stage before it kept, and its decisions take effect: all but the last return the
-columns of ``documents``. Rows that share a doc_id are one document to the filters; rows with a null doc_id are
-documents of their own, which near-dedup and decontamination leave in.
+columns of ``documents``. A document is what has one doc_id and text: near-dedup and decontamination go by a hash of both, so
+different texts under one id, or under none, are documents of their own.
 """
 
 from __future__ import annotations
@@ -30,18 +30,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
-    return kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id, null ids last.
+
+    Of rows with equal id and text, that with the least hash of all columns stays.
+    """
+    keyed = docs.withColumn("_key", row_hash(docs["doc_id"], docs["text"]))
+    found = near_duplicates(keyed, id_col="_key").select(F.col("doc_id").alias("_key"), "component_id")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("_key").alias("stays"))).alias("best")
+    stays = keyed.select("_key", "doc_id").distinct().join(found.distinct(), "_key").groupBy("component_id").agg(best).select(F.col("best.stays").alias("_key"))
+    kept = keyed.join(stays, "_key", "left_semi")
+    return kept.groupBy("_key", "doc_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window of eight words, and not made up by half or more of shorter benchmark items."""
-    found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    keyed = docs.withColumn("_key", row_hash(docs["doc_id"], docs["text"]))
+    found = find_contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
     short = (F.col("n_items") >= 1) & (F.col("n_hit") >= SHORT_SHARE * F.col("n_words"))
     leaks = digest(found, "n_full").where((F.col("n_full") >= LEAK_ITEMS) | short).select(F.col("doc_id").alias("leak")).distinct()
-    return docs.join(leaks, docs["doc_id"] == leaks["leak"], "left_anti")
+    return keyed.join(leaks, keyed["_key"] == leaks["leak"], "left_anti").drop("_key")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,7 +63,7 @@ def _index(vocab: dict[bytes, int], gap: int):
         cuts = np.flatnonzero(np.diff(ids, prepend=-1, append=-1)) if len(ids) else np.array([0])
         for a, b in zip(cuts[:-1], cuts[1:]):
             add(1, None, None, int(b - a), int(ids[a]), at[a:b].tobytes())
-        types = (pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        types = (pa.int64(), pa.int8(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols.values(), types)], names=list(cols))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,12 +83,13 @@ def _index(vocab: dict[bytes, int], gap: int):
     return run
 
 
-_INDEX_SCHEMA = "segment long, kind byte, row long, doc_id long, n long, term int, postings binary"
+#: Ids go as strings: pandas would make floats of a long column with nulls.
+_INDEX_SCHEMA = "segment long, kind byte, row long, doc_id string, n long, term int, postings binary"
 
 
 def build_index(docs: DataFrame, vocab: dict[bytes, int], n: int, id_col: str, text_col: str) -> DataFrame:
     """The stored index: segments of a few MB of text; per segment its documents, and a positional postings list for each test term."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").cast("string").alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("text"))
     return stage(rows.mapInArrow(_index(vocab, n), _INDEX_SCHEMA), "postings")
 
 
@@ -148,7 +149,7 @@ def _search(by_length: dict, df: dict[int, int], gap: int, near: tuple[int, int]
         spans: dict[int, list] = {}
         for d, a, b in zip(of.tolist(), (edge[::2] - base[of]).tolist(), (edge[1::2] - base[of]).tolist()):
             spans.setdefault(d, []).append([a, b])
-        return pd.DataFrame({"row": docs["row"].to_numpy(), "doc_id": docs["doc_id"].array, "n_words": docs["n"].to_numpy(), "spans": [spans.get(i, []) for i in range(len(docs))], "items": [sorted(map(str, items.get(i, ()))) for i in range(len(docs))], "near_items": [sorted(map(str, close.get(i, ()))) for i in range(len(docs))], "n_full": [len(full.get(i, ())) for i in range(len(docs))]})
+        return pd.DataFrame({"row": docs["row"].to_numpy(), "doc_id": pd.Series([None if pd.isna(x) else int(x) for x in docs["doc_id"]], dtype=object), "n_words": docs["n"].to_numpy(), "spans": [spans.get(i, []) for i in range(len(docs))], "items": [sorted(map(str, items.get(i, ()))) for i in range(len(docs))], "near_items": [sorted(map(str, close.get(i, ()))) for i in range(len(docs))], "n_full": [len(full.get(i, ())) for i in range(len(docs))]})
 
     return run
 

@@ -14,7 +14,6 @@ from wikiloom.llm.common import connected_components
 from wikiloom.llm.decontaminate import digest, find_contamination
 from wikiloom.llm.extract import main_text
 from wikiloom.llm.language import fit, identify
-from wikiloom.llm.line_dedup import line_dedup
 from wikiloom.llm.lm_score import lm_scores
 from wikiloom.llm.minhash import near_duplicates
 from wikiloom.llm.mixing import fit as fit_budget
@@ -236,23 +235,6 @@ def test_budget_fit():
         assert 0 <= goal - sum(n * c for n, c in took.items()) <= 400
 
 
-def test_line_dedup(docs, empty):
-    m, seen, marks = 2, {}, {}
-    for d, t in sorted({(r[0], r[1]) for r in ROWS if r[1] is not None}, key=lambda x: (x[0] is not None, x[0] or 0)):
-        lines = t.split("\n")
-        for i in range(len(lines) - m + 1):
-            if seen.setdefault(tuple(lines[i : i + m]), (d, i)) != (d, i):
-                marks.setdefault(d, set()).update(range(i, i + m))
-    want = Counter()
-    for r in ROWS:
-        lines = r[1].split("\n") if r[1] is not None else []
-        gone = sorted(marks.get(r[0], ()))
-        kept = None if r[1] is None else "\n".join(x for i, x in enumerate(lines) if i not in gone)
-        want[(r[0], len(lines), len(gone), sum(i - 1 not in gone for i in gone), kept)] += 1
-    assert Counter(map(tuple, line_dedup(docs).collect())) == want
-    assert line_dedup(empty).count() == 0
-
-
 def test_neighbours(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(1500, 16)).astype(np.float32)

@@ -69,6 +69,23 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column], spread: Column,
     return rows.join(sizes, [*keys, "_piece"]).withColumn(out, F.col("_before") + F.col("_in")).drop("_piece", "_before", "_in")
 
 
+#: Keys with more than this share of the rows are hot; there are fewer of them than its inverse.
+HOT_KEYS = 4096
+
+
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """``rows`` joined to ``table`` on ``keys`` (not null), which are unique there; column ``count`` says how many rows have a key.
+
+    The table's hot keys, fewer than HOT_KEYS whatever the input, are broadcast; only rows of other keys are shuffled, so no
+    task gets more than a small share of them. ``rows`` is read twice; stage it first.
+    """
+    least = max(1, total // HOT_KEYS)
+    hot = table.where(F.col(count) > least).withColumn("_hot", F.lit(True))
+    met = rows.join(F.broadcast(hot), keys, "left")
+    cold = met.where("_hot is null").select(*rows.columns).join(table.where(F.col(count) <= least), keys)
+    return met.where("_hot").drop("_hot").unionByName(cold)
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over ``edges``, for each node that has an edge.
 

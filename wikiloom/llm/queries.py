@@ -64,7 +64,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup(_table(spark, sf_dir, "documents"), min_lines=2)
+    out = line_dedup(_table(spark, sf_dir, "documents"), min_lines=2, min_words=50)
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
@@ -77,15 +77,18 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"))
 
 
-OP8_SQL = r"""
+def line_dedup_sql(min_lines: int = 2, min_words: int = 50) -> str:
+    """The same rule for unique ids that are not null: a run's key is its text."""
+    ahead = "".join(f" || chr(10) || lead(line, {k}) OVER w" for k in range(1, min_lines))
+    return rf"""
 WITH l AS (SELECT doc_id, text, CASE WHEN text = '' THEN [''] ELSE string_split(text, chr(10)) END AS lines FROM documents),
-w AS (SELECT doc_id, unnest(range(len(lines) - 1)) AS pos, lines FROM l WHERE len(lines) >= 2),
-k AS (SELECT doc_id, pos, lines[pos + 1] || chr(10) || lines[pos + 2] AS run FROM w),
-m AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) > 1 AS later FROM k),
-gone AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1]) AS pos FROM m WHERE later),
+each AS (SELECT doc_id, unnest(range(len(lines))) AS pos, unnest(lines) AS line FROM l),
+k AS (SELECT doc_id, pos, 0 AS kind, {min_lines} AS depth, line{ahead} AS run FROM each WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+  UNION ALL SELECT doc_id, pos, 1 AS kind, 1 AS depth, line AS run FROM each WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= {min_words}),
+m AS (SELECT doc_id, pos, depth, row_number() OVER (PARTITION BY kind, run ORDER BY doc_id, pos) > 1 AS later FROM k WHERE run IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + depth)) AS pos FROM m WHERE later),
 runs AS (SELECT doc_id, count(*) AS n, count(*) FILTER (before IS NULL OR before < pos - 1) AS r
   FROM (SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM gone) GROUP BY doc_id),
-each AS (SELECT doc_id, unnest(range(len(lines))) AS pos, unnest(lines) AS line FROM l),
 kept AS (SELECT e.doc_id, string_agg(line, chr(10) ORDER BY e.pos) AS text FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.pos = g.pos GROUP BY e.doc_id)
 SELECT l.doc_id, coalesce(len(lines), 0) AS n_lines, coalesce(runs.n, 0) AS n_removed, coalesce(runs.r, 0) AS n_runs,
   CASE WHEN l.text IS NOT NULL THEN sha256(coalesce(kept.text, '')) END AS kept_sha256
@@ -107,4 +110,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": OP8_SQL}
+    return {"op8_line_dedup": line_dedup_sql()}

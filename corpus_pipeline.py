@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikiloom.llm.common import stage
+from wikiloom.llm.common import join_counted, ranked, stage
 from wikiloom.llm.decontaminate import digest, find_contamination
 from wikiloom.llm.language import fit, identify
 from wikiloom.llm.minhash import near_duplicates
@@ -22,6 +22,11 @@ from wikiloom.llm.sharding import shard_documents
 LEAK_ITEMS, SHORT_SHARE = 1, 0.5
 
 
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """(row, _key, doc_id, text): each row as a struct, whatever its columns are called, with the key that names it."""
+    return docs.select(F.struct(*docs.columns).alias("row"), row_hash(docs["doc_id"], docs["text"]).alias("_key"), docs["doc_id"], docs["text"])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text some language explains; declared language: lang, host: source."""
     langs, table = fit(docs, "doc_id", "text", "lang")
@@ -34,28 +39,43 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows with equal id and text, that with the least hash of all columns stays.
     """
-    keyed = docs.withColumn("_key", row_hash(docs["doc_id"], docs["text"]))
+    keyed = keyed_rows(docs)
     found = near_duplicates(keyed, id_col="_key").select(F.col("doc_id").alias("_key"), "component_id")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("_key").alias("stays"))).alias("best")
     stays = keyed.select("_key", "doc_id").distinct().join(found.distinct(), "_key").groupBy("component_id").agg(best).select(F.col("best.stays").alias("_key"))
-    kept = keyed.join(stays, "_key", "left_semi")
-    return kept.groupBy("_key", "doc_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")).select("row.*")
+    # Repeated rows meet with map-side minima; the join keeps that partitioning.
+    once = keyed.groupBy("_key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return once.join(stays, "_key", "left_semi").select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window of eight words, and not made up by half or more of shorter benchmark items."""
-    keyed = docs.withColumn("_key", row_hash(docs["doc_id"], docs["text"]))
+    keyed = keyed_rows(docs)
     found = find_contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
     short = (F.col("n_items") >= 1) & (F.col("n_hit") >= SHORT_SHARE * F.col("n_words"))
-    leaks = digest(found, "n_full").where((F.col("n_full") >= LEAK_ITEMS) | short).select(F.col("doc_id").alias("leak")).distinct()
-    return keyed.join(leaks, keyed["_key"] == leaks["leak"], "left_anti").drop("_key")
+    # Written down, its size is known: Spark broadcasts it only if that is small.
+    leaks = stage(digest(found, "n_full").where((F.col("n_full") >= LEAK_ITEMS) | short).select(F.col("doc_id").alias("leak")).distinct(), "leaks")
+    return keyed.join(leaks, keyed["_key"] == leaks["leak"], "left_anti").select("row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    taken = mix_to_targets(docs).groupBy("row_hash").agg(F.max("copies").alias("times")).where("times > 0")
-    rows = docs.join(taken, row_hash(docs["doc_id"], docs["text"]) == taken["row_hash"])
-    return rows.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.explode(F.sequence(F.lit(1), taken["times"]))).select("row.*")
+    """Each document as often as the mix takes it.
+
+    Rows equal in id, text and source are one to the mix: the copies it takes of them are summed and dealt out evenly, the
+    rest to the first ones as they are read.
+    """
+    mixed = mix_to_targets(docs)
+    name = lambda c: (F.coalesce(c.cast("string"), F.lit("")).alias("_source"), c.isNull().alias("_none"))
+    key = ["_hash", "_source", "_none"]
+    taken = mixed.select(F.col("row_hash").alias("_hash"), *name(F.col("source")), "copies").groupBy(*key).agg(F.sum("copies").cast("int").alias("_copies"), F.count(F.lit(1)).cast("int").alias("_rows"))
+    taken = stage(taken.where("_copies > 0"), "taken")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), row_hash(docs["doc_id"], docs["text"]).alias("_hash"), *name(docs["source"]))
+    rows = join_counted(keyed, taken, key, "_rows", docs.count())
+    even = F.col("_copies") % F.col("_rows") == 0
+    uneven = stage(rows.where(~even).withColumn("_at", F.monotonically_increasing_id()), "uneven")
+    dealt = ranked(uneven, key, [F.col("_at")], F.col("_at"), "_rank").withColumn("_extra", (F.col("_rank") < F.col("_copies") % F.col("_rows")).cast("int"))
+    every = rows.where(even).select("row", (F.col("_copies") / F.col("_rows")).cast("int").alias("n")).unionByName(dealt.select("row", (F.floor(F.col("_copies") / F.col("_rows")) + F.col("_extra")).cast("int").alias("n")))
+    return every.where("n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

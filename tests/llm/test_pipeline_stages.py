@@ -109,13 +109,13 @@ def test_stages(spark, sf):
     rows = docs.collect()
     langs, table = fit(docs, "doc_id", "text", "lang")
     ok = posteriors([(r.text, r.lang, r.source) for r in rows], langs, table)
-    kept = corpus_pipeline.language_id(spark, docs, sf).localCheckpoint()
+    kept = corpus_pipeline.language_id(spark, docs, sf).cache()
     assert key(kept) == Counter((r.doc_id, r.text) for r, x in zip(rows, ok) if x[2])
-    before, kept = key(kept), corpus_pipeline.near_dedup(spark, kept, sf).localCheckpoint()
+    before, kept = key(kept), corpus_pipeline.near_dedup(spark, kept, sf).cache()
     assert key(kept) == deduped(before) and sum(before.values()) - kept.count() >= 8
-    before, kept = key(kept), corpus_pipeline.decontaminate(spark, kept, sf).localCheckpoint()
+    before, kept = key(kept), corpus_pipeline.decontaminate(spark, kept, sf).cache()
     assert key(kept) == Counter({r: n for r, n in before.items() if not leaks(r[1])}) and sum(before.values()) - kept.count() == 4
-    before, mixed = kept.collect(), corpus_pipeline.mix(spark, kept, sf).localCheckpoint()
+    before, mixed = kept.collect(), corpus_pipeline.mix(spark, kept, sf).cache()
     assert set(key(mixed)) <= set(key(kept)) and max(key(mixed).values()) <= 3
     size = lambda rs: sum((Counter({r.source: len(r.text.split())}) for r in rs), Counter())
     by, took = size(before), size(mixed.collect())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
-#: Bytes of text in one segment of the index (a longer text has a segment of its own), and items searched for at a time.
-SEGMENT_BYTES = 4 << 20
-ITEMS_AT_ONCE = 2000
+#: Bytes of text in one segment of the index (a longer text has a segment of its own), of items whose terms are indexed in one
+#: pass over the text, and of items whose windows a task searches for at a time (a longer item goes alone).
+SEGMENT_BYTES, INDEX_BYTES, SEARCH_BYTES = 4 << 20, 32 << 20, 2 << 20
 #: Byte classes of the word pattern: A-Z in lower case, what is no word byte as a space.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -23,19 +24,25 @@ def words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_TABLE).split()
 
 
-def item_windows(items: list[tuple], n: int) -> tuple[dict[bytes, int], dict[int, list[tuple[tuple[int, ...], list]]]]:
-    """Vocabulary of the items, and by window length the distinct windows (term ids) with the ids of their items."""
-    vocab: dict[bytes, int] = {}
+def item_windows(items: list[tuple], n: int, vocab: dict[bytes, int]) -> dict[tuple[int, ...], list]:
+    """The distinct windows (term ids) of items, with the ids of their items."""
     found: dict[tuple[int, ...], set] = {}
     for item, text in items:
-        ids = [vocab.setdefault(w, len(vocab)) for w in words(text)]
+        ids = [vocab[w] for w in words(text)]
         k = min(n, len(ids))
         for i in range(len(ids) - k + 1 if k else 0):
             found.setdefault(tuple(ids[i : i + k]), set()).add(item)
-    by_length: dict[int, list] = {}
-    for w in sorted(found):
-        by_length.setdefault(len(w), []).append((w, sorted(found[w], key=str)))
-    return vocab, by_length
+    return {w: sorted(x, key=str) for w, x in found.items()}
+
+
+def by_rarest(windows: dict[tuple[int, ...], list], df: dict[int, int]) -> dict[int, list[tuple]]:
+    """Windows under their rarest term, each with its offsets from the rarest term on: ordered once, not in every segment."""
+    out: dict[int, list] = {}
+    for w, ids in windows.items():
+        order = sorted(range(len(w)), key=lambda i: (df.get(w[i], 0), w[i], i))
+        if df.get(w[order[0]]):
+            out.setdefault(w[order[0]], []).append((w, order, ids))
+    return out
 
 
 def _index(vocab: dict[bytes, int], gap: int):
@@ -87,15 +94,13 @@ def _index(vocab: dict[bytes, int], gap: int):
 _INDEX_SCHEMA = "segment long, kind byte, row long, doc_id string, n long, term int, postings binary"
 
 
-def build_index(docs: DataFrame, vocab: dict[bytes, int], n: int, id_col: str, text_col: str) -> DataFrame:
-    """The stored index: segments of a few MB of text; per segment its documents, and a positional postings list for each test term."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").cast("string").alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("text"))
+def build_index(rows: DataFrame, vocab: dict[bytes, int], n: int) -> DataFrame:
+    """The stored index of (row, doc_id, text): segments of a few MB of text; per segment its documents, and a positional postings list for each test term."""
     return stage(rows.mapInArrow(_index(vocab, n), _INDEX_SCHEMA), "postings")
 
 
-def exact_hits(lists: dict[int, np.ndarray], window: tuple[int, ...], df: dict[int, int]) -> np.ndarray:
-    """Starts of the exact phrase: the postings of its terms, shifted by their offsets, intersected from the rarest term on."""
-    order = sorted(range(len(window)), key=lambda i: (df.get(window[i], 0), window[i], i))
+def exact_hits(lists: dict[int, np.ndarray], window: tuple[int, ...], order: list[int]) -> np.ndarray:
+    """Starts of the exact phrase: the postings of its terms, shifted by their offsets, intersected in ``order``, from the rarest term on."""
     if any(window[i] not in lists for i in order):
         return np.empty(0, np.int64)
     starts = lists[window[order[0]]] - order[0]
@@ -108,9 +113,9 @@ def exact_hits(lists: dict[int, np.ndarray], window: tuple[int, ...], df: dict[i
     return starts
 
 
-def near_hits(lists: dict[int, np.ndarray], window: tuple[int, ...], df: dict[int, int], terms: int, slop: int) -> np.ndarray:
+def near_hits(lists: dict[int, np.ndarray], window: tuple[int, ...], order: list[int], terms: int, slop: int) -> np.ndarray:
     """Positions of the window's rarest term that have its next rarest distinct terms within ``slop`` words."""
-    order = sorted(set(window), key=lambda t: (df.get(t, 0), t))[:terms]
+    order = list(dict.fromkeys(window[i] for i in order))[:terms]
     if any(t not in lists for t in order):
         return np.empty(0, np.int64)
     at = lists[order[0]]
@@ -122,7 +127,7 @@ def near_hits(lists: dict[int, np.ndarray], window: tuple[int, ...], df: dict[in
     return at
 
 
-def _search(by_length: dict, df: dict[int, int], gap: int, near: tuple[int, int] | None):
+def _search(rarest: dict[int, list[tuple]], gap: int, near: tuple[int, int] | None):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         docs = pdf[pdf["kind"] == 0].sort_values("row")
         base = np.concatenate([[0], np.cumsum(docs["n"].to_numpy() + gap)])
@@ -130,9 +135,10 @@ def _search(by_length: dict, df: dict[int, int], gap: int, near: tuple[int, int]
         hit, close = np.zeros(base[-1] + 1, np.int32), {}
         items: dict[int, set] = {}
         full: dict[int, set] = {}
-        for k, windows in by_length.items():
-            for w, ids in windows:
-                starts = exact_hits(lists, w, df)
+        # Only windows whose rarest term the segment has.
+        for term in lists:
+            for w, order, ids in rarest.get(term, ()):
+                starts, k = exact_hits(lists, w, order), len(w)
                 if len(starts):
                     np.add.at(hit, starts, 1)
                     np.add.at(hit, starts + k, -1)
@@ -141,7 +147,7 @@ def _search(by_length: dict, df: dict[int, int], gap: int, near: tuple[int, int]
                         if k == gap:
                             full.setdefault(int(d), set()).update(ids)
                 if near:
-                    for d in set(np.searchsorted(base, near_hits(lists, w, df, *near), "right") - 1):
+                    for d in set(np.searchsorted(base, near_hits(lists, w, order, *near), "right") - 1):
                         close.setdefault(int(d), set()).update(ids)
         cover = np.cumsum(hit[:-1]) > 0
         edge = np.flatnonzero(np.diff(cover.astype(np.int8), prepend=0, append=0))
@@ -165,21 +171,41 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 8, near:
 
     Null and empty texts have no words; null item texts have no windows; null and repeated ids are ordinary rows; empty
     tables give no rows or no hits; other columns are ignored. The index is split by text, never by term, so frequent
-    terms and long lists are spread. The benchmark is read in blocks of ITEMS_AT_ONCE items: what a task holds of it is bounded.
+    terms and long lists are spread. Up to INDEX_BYTES of benchmark text the corpus is read once, whatever the number of items;
+    a larger benchmark goes in blocks of that size over a staged copy of the rows, and each index is searched for
+    SEARCH_BYTES of items at a time: what the driver and a task hold of it is bounded.
     """
     items = benchmark.select(F.col(item_col).alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("t"))
-    blocks = max(1, -(-items.count() // ITEMS_AT_ONCE))
-    parts = items.withColumn("b", F.pmod(F.xxhash64("i"), F.lit(blocks)))
-    found = None
+    blocks = max(1, -(-(items.agg(F.sum(F.length("t"))).first()[0] or 0) // INDEX_BYTES))
+    parts = items.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").cast("string").alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("text"))
+    if blocks > 1:
+        rows = stage(rows, "texts")
+    search = lambda index, rarest: index.groupBy("segment").applyInPandas(_search(rarest, n, near), "row long, doc_id long, n_words long, spans array<array<long>>, items array<string>, near_items array<string>, n_full long")
+    found = []
     for b in range(blocks):
-        vocab, by_length = item_windows([(r.i, bytes(r.t)) for r in parts.where(F.col("b") == b).collect()], n)
-        index = build_index(docs, vocab, n, id_col, text_col)
+        read = [(r.i, bytes(r.t)) for r in parts.where(F.col("b") == b).select("i", "t").toLocalIterator()]
+        vocab: dict[bytes, int] = {}
+        for _, text in read:
+            for w in words(text):
+                vocab.setdefault(w, len(vocab))
+        index = build_index(rows, vocab, n)
         df = {r.term: r.n for r in index.where("kind = 1").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-        got = index.groupBy("segment").applyInPandas(_search(by_length, df, n, near), "row long, doc_id long, n_words long, spans array<array<long>>, items array<string>, near_items array<string>, n_full long")
-        found = got if found is None else found.unionByName(got)
-    if blocks == 1:
-        return found
-    every = lambda c: F.sort_array(F.flatten(F.collect_list(c))).alias(c)
+        batch, held = [], 0
+        for i, item in enumerate(read):
+            batch.append(item)
+            held += len(item[1])
+            if held >= SEARCH_BYTES or i + 1 == len(read):
+                rarest = by_rarest(item_windows(batch, n, vocab), df)
+                found.append(search(index, rarest))
+                batch, held = [], 0
+    if not found:
+        return search(index, {})
+    if len(found) == 1:
+        return found[0]
+    found = reduce(DataFrame.unionByName, found)
+    # An item stands in one batch, unless its id is repeated.
+    every = lambda c: F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
     return found.groupBy("row", "doc_id", "n_words").agg(every("spans"), every("items"), every("near_items"), F.sum("n_full").alias("n_full"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stage
+from .common import join_counted, stage
 
 #: The classifier is fitted on the whole texts of at most this many labelled rows of each language.
 FIT_ROWS = 400
@@ -41,7 +41,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[list[str], np.ndarray]:
-    """All labelled languages and their log probabilities of trigram buckets, from a sample of FIT_ROWS whole texts of each in hash order.
+    """All labelled languages and their log probabilities of trigram buckets, from a sample of at most FIT_ROWS whole texts of each in hash order.
 
     Texts are counted where they are; the driver gets one row of counts for each language.
     """
@@ -108,23 +108,26 @@ def identify(rows: DataFrame, langs: list[str], table: np.ndarray, keep: list[st
     vector = F.array(*[F.col(f"p{i}") for i in range(k)])
 
     def table_of(cols: list[str], name: str) -> DataFrame:
-        return soft.where(" and ".join(f"{c} is not null" for c in cols)).groupBy(*cols).agg(*sums).select(*cols, vector.alias(name))
+        return soft.where(" and ".join(f"{c} is not null" for c in cols)).groupBy(*cols).agg(*sums, F.count(F.lit(1)).alias("_rows")).select(*cols, "_rows", vector.alias(name))
 
     whole = soft.agg(*sums).first()
     total = [float(x or 0) + 1.0 for x in whole]
     all_prior = F.array(*[F.lit(x / sum(total)) for x in total])
     count = lambda c: F.aggregate(c, F.lit(0.0), lambda a, b: a + b)
     lean = lambda c, up: F.when(c.isNull(), up).otherwise(F.zip_with(c, up, lambda x, u: (x + LEAN * u) / (count(c) + LEAN)))
-    # The tables by host, domain, suffix and declared language are joined as tables: they may grow with the web.
+    # The tables by host, domain, suffix and declared language are joined as tables: they may grow with the web. Texts of hot hosts
+    # and languages stay where they are.
     tables = stage(table_of(["_host", "_domain", "_suffix"], "_hc"), "language")
     domains = tables.groupBy("_domain").agg(*[F.sum(F.get("_hc", F.lit(i))).alias(f"p{i}") for i in range(k)]).select("_domain", vector.alias("_dc"))
     suffixes = tables.groupBy("_suffix").agg(*[F.sum(F.get("_hc", F.lit(i))).alias(f"p{i}") for i in range(k)]).select("_suffix", vector.alias("_sc"))
     priors = tables.join(domains, "_domain").join(suffixes, "_suffix")
     priors = priors.withColumn("_prior", lean(F.col("_hc"), lean(F.col("_dc"), lean(F.col("_sc"), all_prior))))
     # P(suffix | l): of the rows of language l, the share under this suffix, with one pseudo-count.
-    priors = priors.select("_host", "_prior", F.zip_with("_sc", F.array(*[F.lit(x) for x in total]), lambda s, t: (s + 1.0) / (t + 1.0)).alias("_psuffix"))
-    said = table_of(["_declared"], "_dl").select("_declared", F.zip_with("_dl", F.array(*[F.lit(x) for x in total]), lambda s, t: (s + 1.0) / (t + float(k))).alias("_pdeclared"))
-    out = scored.join(priors, "_host", "left").join(said, "_declared", "left")
+    priors = priors.select("_host", "_rows", "_prior", F.zip_with("_sc", F.array(*[F.lit(x) for x in total]), lambda s, t: (s + 1.0) / (t + 1.0)).alias("_psuffix"))
+    said = table_of(["_declared"], "_dl").select("_declared", "_rows", F.zip_with("_dl", F.array(*[F.lit(x) for x in total]), lambda s, t: (s + 1.0) / (t + float(k))).alias("_pdeclared"))
+    priors, said, total_rows = stage(priors, "language"), stage(said, "language"), scored.count()
+    out = join_counted(scored, priors, ["_host"], "_rows", total_rows, "left", priors.count()).drop("_rows")
+    out = join_counted(out, said, ["_declared"], "_rows", total_rows, "left", said.count())
     flat = F.array(*[F.lit(1.0)] * k)
     parts = [F.col("ll"), *[F.transform(c, lambda v: F.log(v)) for c in (F.coalesce("_prior", all_prior), F.coalesce("_psuffix", flat), F.coalesce("_pdeclared", flat))]]
     fused = parts[0]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_counted, stage
+from .common import join_counted, numbered, stage
 
 _WORD = r"[^\x20\x09-\x0D]+"
 #: Which of two copies is the first: columns of a line's place.
@@ -16,10 +16,10 @@ def ranks(members: DataFrame, keys: list[str], total: int) -> DataFrame:
     """Members whose ``keys`` occur more than once, with ``r``, the rank of their keys, and the place of the first copy.
 
     Equal keys form an interval of the suffix array. The distinct keys are sorted over all partitions and numbered in that
-    order, so ranks compare like the prefixes they stand for; the numbers grow with the order but leave gaps.
+    order, so ranks are dense and compare like the prefixes they stand for.
     """
     groups = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"), F.min(F.struct(*_PLACE)).alias("_f")).where("_c > 1")
-    order = stage(groups.select(*keys, "_c", F.col("_f._row").alias("_first"), F.col("_f.pos").alias("_from")).orderBy(*keys).withColumn("r", F.monotonically_increasing_id()), "ranks")
+    order = numbered(groups.select(*keys, "_c", F.col("_f._row").alias("_first"), F.col("_f.pos").alias("_from")), keys, "r", "ranks")
     met = join_counted(members, order, keys, "_c", total)
     return stage(met.select(*_PLACE, "long", "r", ((F.col("_row") != F.col("_first")) | (F.col("pos") != F.col("_from"))).alias("later")), "suffixes")
 

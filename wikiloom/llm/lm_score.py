@@ -1,4 +1,4 @@
-"""Stupid-backoff language-model scores from n-gram count tables partitioned by hash."""
+"""Stupid-backoff language-model scores: n-gram counts partitioned by hash, joined to the exploded n-grams, summed per document."""
 
 from __future__ import annotations
 
@@ -11,27 +11,36 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import stage
+from .common import reads_alike, stage, unstage
 
-#: Bytes of text in one block of documents, and distinct n-grams of blocks that one partition of the count table is sized for.
-BLOCK_BYTES, PART_GRAMS = 12 << 20, 1 << 20
+#: Bytes of text in one block of documents (a longer text is a block), rows of n-grams that one partition of the count table
+#: is sized for, and bytes of text that one task scores.
+BLOCK_BYTES, PART_ROWS, TASK_BYTES = 12 << 20, 4 << 20, 48 << 20
+#: Rows of one Arrow batch of n-grams.
+BATCH = 1 << 17
 BACKOFF = 0.4
 _C = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document number and word hash of each token, and the hash of the word pair that ends there (0 at a text's start)."""
+def _grams(texts: list[bytes], order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Document number of each token, and for each length up to ``order`` the hash of the n-gram that ends there (0: the text starts later)."""
     ws = [t.lower().split() for t in texts]
     of = np.repeat(np.arange(len(ws)), [len(w) for w in ws])
-    one = np.fromiter((xxhash.xxh3_64_intdigest(w) for x in ws for w in x), np.uint64, len(of)) | np.uint64(1)
-    two = np.zeros(len(of), np.uint64)
-    if len(of) > 1:
-        x = one[:-1] * _C + (one[1:] ^ (one[1:] >> np.uint64(31)))
-        x = (x ^ (x >> np.uint64(32))) * _C
-        x = (x ^ (x >> np.uint64(29))) & ~np.uint64(1)
-        two[1:] = np.where(of[1:] == of[:-1], np.where(x == 0, np.uint64(2), x), np.uint64(0))
-    return of, one, two
+    one = np.fromiter((xxhash.xxh3_64_intdigest(w) for x in ws for w in x), np.uint64, len(of))
+    one = np.where(one == 0, np.uint64(1), one)
+    out = [one]
+    for k in range(2, order + 1):
+        g = np.zeros(len(of), np.uint64)
+        if len(of) >= k:
+            x = out[-1][:-1] * _C + (one[1:] ^ (one[1:] >> np.uint64(31))) + np.uint64(k)
+            x = (x ^ (x >> np.uint64(32))) * _C
+            x ^= x >> np.uint64(29)
+            inside = np.concatenate([of[k - 1 :] == of[: len(of) - k + 1]])
+            g[k - 1 :] = np.where(inside, np.where(x[k - 2 :] == 0, np.uint64(1), x[k - 2 :]), np.uint64(0))
+        out.append(g)
+    return of, out
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[bytes]]]:
@@ -49,37 +58,20 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list
         yield (part << 32) + number, rows, texts
 
 
-def _explode(parts: int):
-    """Blocks to (part, block, grams, counts): the block's distinct n-grams of one hash partition with their counts."""
+def _explode(order: int):
+    """Texts to (gram, block, n): each block's distinct n-grams with their counts there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _, texts in _blocks(batches):
-            _, one, two = _grams(texts)
-            grams, n = np.unique(np.concatenate([one, two[two != 0]]), return_counts=True)
-            cuts = np.searchsorted(grams >> np.uint64(32), (np.arange(parts + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(parts))
-            for p in range(parts):
-                a, b = cuts[p], cuts[p + 1]
-                if a < b:
-                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([block], pa.int64()), pa.array([grams[a:b].astype("<u8").tobytes()], pa.binary()), pa.array([n[a:b].astype("<u4").tobytes()], pa.binary())], names=["part", "block", "grams", "counts"])
+            for g in _grams(texts, order)[1]:
+                grams, n = np.unique(g[g != 0], return_counts=True)
+                for lo in range(0, len(grams), BATCH):
+                    part = grams[lo : lo + BATCH].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), block, np.int64)), pa.array(n[lo : lo + BATCH].astype(np.int32))], names=["gram", "block", "n"])
 
     return run
 
 
-def _count(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """One partition of the count table: totals of its n-grams, and what each block needs of them."""
-    grams = [np.frombuffer(g, "<u8") for g in pdf["grams"]]
-    every, at = np.unique(np.concatenate(grams), return_inverse=True)
-    total = np.bincount(at, np.concatenate([np.frombuffer(c, "<u4") for c in pdf["counts"]]).astype(np.float64)).astype("<i8")
-    ends = np.cumsum([0, *map(len, grams)])
-    # Counts of 255 and more follow in a list of their own.
-    small, big = [], []
-    for a, b in zip(ends[:-1], ends[1:]):
-        t = total[at[a:b]]
-        small.append(np.minimum(t, 255).astype(np.uint8).tobytes())
-        big.append(t[t >= 255].tobytes())
-    return pd.DataFrame({"block": pdf["block"].to_numpy(), "part": pdf["part"].to_numpy(), "small": small, "big": big})
-
-
 def _tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, rows, texts in _blocks(batches):
         for lo in range(0, len(rows), 500):
@@ -87,62 +79,76 @@ def _tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array(texts[lo : lo + 500], pa.binary())], names=["block", "row", "doc_id", "text"])
 
 
-def _score(tokens: int):
+def others(g: np.ndarray, of: np.ndarray, grams: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Count of each token's n-gram in the other documents; ``grams`` (sorted) have ``totals``, the rest stand in this block only."""
+    at = np.argsort(g, kind="stable")
+    x, d = g[at], of[at]
+    new = np.concatenate([[True], x[1:] != x[:-1]])
+    own = new | np.concatenate([[True], d[1:] != d[:-1]])
+    sizes = lambda starts: np.diff(np.append(starts, len(g)))
+    first, mine = np.flatnonzero(new), np.flatnonzero(own)
+    total = sizes(first)
+    if len(grams):
+        i = np.minimum(np.searchsorted(grams, x[first]), len(grams) - 1)
+        total = np.where(grams[i] == x[first], totals[i], total)
+    out = np.empty(len(g), np.int64)
+    out[at] = total[np.cumsum(new) - 1] - sizes(mine)[np.cumsum(own) - 1]
+    return np.where(g == 0, 0, out)
+
+
+def _score(tokens: int, order: int):
     def run(key: tuple, docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         docs = docs.sort_values("row")
-        of, one, two = _grams(list(docs["text"]))
-        grams = np.unique(np.concatenate([one, two[two != 0]]))
-        counts = []
-        for small, big in answers.sort_values("part")[["small", "big"]].itertuples(index=False):
-            c = np.frombuffer(small, np.uint8).astype(np.int64)
-            c[c == 255] = np.frombuffer(big, "<i8")
-            counts.append(c)
-        counts = np.concatenate(counts) if counts else np.empty(0, np.int64)
-        if len(counts) != len(grams):
-            raise RuntimeError("a block was cut differently when it was read again")
-
-        def others(g: np.ndarray) -> np.ndarray:
-            """Count of each token's n-gram in the other documents."""
-            i = np.minimum(np.searchsorted(grams, g), len(grams) - 1)
-            _, back, n = np.unique(of * np.int64(len(grams) + 1) + np.where(g == 0, len(grams), i), return_inverse=True, return_counts=True)
-            return np.where(g == 0, 0, counts[i] - n[back])
-
+        of, levels = _grams(list(docs["text"]), order)
+        grams, totals = answers["gram"].to_numpy(np.int64).view(np.uint64), answers["total"].to_numpy(np.int64)
+        at = np.argsort(grams)
+        grams, totals = grams[at], totals[at]
         words = np.bincount(of, minlength=len(docs))
+        score, backed = np.zeros(len(docs)), np.zeros(len(docs))
         if len(of):
-            c1, c2 = others(one), others(two)
-            context = np.concatenate([[0], c1[:-1]])
-            rest = np.maximum(1, tokens - words)[of]
-            lone = np.maximum(c1, 1 / 2) / rest
-            first = np.concatenate([[True], of[1:] != of[:-1]])
-            p = np.where(first, lone, np.where(c2 > 0, c2 / np.maximum(context, 1), BACKOFF * lone))
-            score = np.bincount(of, np.log(p), len(docs))
-            backed = np.bincount(of, (~first) & (c2 <= 0), len(docs))
-        else:
-            score, backed = np.zeros(len(docs)), np.zeros(len(docs))
+            counts = [others(g, of, grams, totals) for g in levels]
+            p = np.maximum(counts[0], 1 / 2) / np.maximum(1, tokens - words)[of]
+            steps = np.zeros(len(of))
+            for k in range(1, order):
+                context = np.concatenate([[0], counts[k - 1][:-1]])
+                there, has = levels[k] != 0, counts[k] > 0
+                p = np.where(has, counts[k] / np.maximum(context, 1), np.where(there, BACKOFF * p, p))
+                steps = np.where(has, 0, steps + there)
+            score, backed = np.bincount(of, np.log(p), len(docs)), np.bincount(of, steps, len(docs))
         return pd.DataFrame({"doc_id": docs["doc_id"].array, "n_words": words, "n_backoff": backed.astype(np.int64), "log_score": score, "mean_log_score": score / np.maximum(1, words)})
 
     return run
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lm_scores(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_backoff, log_score, mean_log_score.
 
-    Words are what ASCII white space separates, A-Z lower-cased. The model is the bigram counts of all other documents:
-    S(w | v) = c(v w) / c(v) if c(v w) > 0, else BACKOFF * c(w) / N; a document's first word has c(w) / N; a word that no
-    other document has counts 1/2. log_score is the sum of the words' natural logs, n_backoff how often it backed off.
+    Words are what ASCII white space separates, A-Z lower-cased. The model is the n-gram counts, up to ``order`` words, of all
+    other documents: S(w | v) = c(v w) / c(v) if c(v w) > 0, else BACKOFF * S(w | v without its first word), and
+    S(w) = c(w) / N at last; a word's context never reaches beyond its text; a word that no other document has counts
+    1/2. log_score is the sum of the words' natural logs, n_backoff the number of steps back.
 
-    Blocks of documents are exploded to their distinct n-grams, which go, packed, to the count table's hash partition;
-    the partition adds up all blocks' counts and answers each block; a block joins the answers to its documents' n-grams
-    and sums per document. The hash spreads frequent words: a block has an n-gram once. The number of partitions follows
-    the input, so what a task holds is bounded by PART_GRAMS and BLOCK_BYTES and the longest text.
+    Blocks of documents are exploded to rows (gram, block, n), one for each of a block's distinct n-grams, so that a frequent
+    one has a row for each block at most. Dealt by the hash of the gram, its rows are summed to its count and joined to it in
+    one pass (a window over the gram); where other blocks have the gram too the count goes back, as a row, to the block,
+    which joins it to its documents' n-grams and sums per document. Rows grow in proportion to the tokens. What a task
+    holds is bounded by BLOCK_BYTES and the longest text. If ``docs`` is more than a scan of files, it is staged
+    first, so that blocks are the same in both readings.
 
     Null and empty texts have no words and score 0; ids may be null or repeated, each row is a document; an empty table
     gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).cast("binary").alias("text"))
+    text = F.coalesce(docs[text_col].cast("string"), F.lit("")).cast("binary").alias("text")
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text)
+    if not reads_alike(rows):
+        rows = stage(rows, "texts")
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     size, words = rows.agg(F.sum(F.length("text") + 64), F.sum(F.regexp_count(F.col("text").cast("string"), F.lit("[^\\x20\\x09-\\x0D]+")))).first()
-    parts = max(8, int((size or 0) / 8 // PART_GRAMS))
-    asked = rows.mapInArrow(_explode(parts), "part int, block long, grams binary, counts binary")
-    answers = stage(asked.groupBy("part").applyInPandas(_count, "block long, part int, small binary, big binary"), "answers")
-    tagged = rows.mapInArrow(_tag, "block long, row long, doc_id long, text binary")
-    return tagged.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score(int(words or 0)), "doc_id long, n_words long, n_backoff long, log_score double, mean_log_score double")
+    parts = max(8, int((words or 0) * order // PART_ROWS))
+    exploded = rows.mapInArrow(_explode(order), "gram long, block long, n int").repartition(parts, "gram")
+    counted = exploded.withColumn("total", F.sum("n").over(Window.partitionBy("gram")))
+    answers = stage(counted.where("total > n").select("block", "gram", "total"), "answers")
+    unstage()
+    tasks = max(8, int((size or 0) // TASK_BYTES))
+    tagged = rows.mapInArrow(_tag, "block long, row long, doc_id long, text binary").repartition(tasks, "block")
+    return tagged.groupBy("block").cogroup(answers.repartition(tasks, "block").groupBy("block")).applyInPandas(_score(int(words or 0), order), "doc_id long, n_words long, n_backoff long, log_score double, mean_log_score double")

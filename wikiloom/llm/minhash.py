@@ -7,18 +7,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import connected_components, stage
+from .common import connected_components, join_counted, stage
 
 #: A signature has CHUNKS x WIDTH symbols of 16 bits. Of two signatures that differ in at most CHUNKS * (ERRORS + 1) - 1
 #: symbols, some chunk differs in at most ERRORS (pigeonhole); with one allowed error, a chunk is looked up once for each
 #: symbol left out. 23 of 60 symbols: a pair of similarity 0.85 is missed with probability 3e-6, one of 0.9 with 1e-10.
 CHUNKS, WIDTH, ERRORS = 12, 5, 1
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
-#: Members of a block of a cluster, and bytes of cluster places up to which they are broadcast beside the texts.
-MEMBERS, BROADCAST_BYTES = 512, 16 << 20
+#: Members of a block and bytes of their sets (a longer text has a block to itself), and bytes of places up to which they are
+#: broadcast beside the texts.
+MEMBERS, BLOCK_BYTES, BROADCAST_BYTES = 512, 64 << 20, 16 << 20
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(0, 2**63, CHUNKS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _KEY = _rng.integers(0, 2**63, (CHUNKS, WIDTH), dtype=np.uint64)
@@ -86,10 +88,10 @@ def _sets(k: int):
         for whole in batches:
             for lo in range(0, whole.num_rows, 500):
                 batch = whole.slice(lo, 500)
-                sets = [shingle_set(t.as_py(), k).view(np.int64) for t in batch.column(4)]
+                sets = [shingle_set(t.as_py(), k).view(np.int64) for t in batch.column(2)]
                 ends = np.cumsum([0, *map(len, sets)])
                 made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), made], names=["cluster", "blocks", "b", "id", "set"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made], names=["id", "places", "set"])
 
     return run
 
@@ -105,12 +107,12 @@ def _common(sets: list[np.ndarray], first: int) -> np.ndarray:
     order = np.argsort(at, kind="stable")
     of, at = of[order], at[order]
     rest = 0 if first == len(sets) else first
-    out = np.zeros((first, len(sets) - rest), np.float32)
+    out = np.zeros((first, len(sets) - rest), np.int64)
     for lo in range(0, width, 4096):
         i, j = np.searchsorted(at, [lo, lo + 4096])
         m = np.zeros((len(sets), min(4096, width - lo)), np.float32)
         m[of[i:j], at[i:j] - lo] = 1
-        out += m[:first] @ m[rest:].T
+        out += (m[:first] @ m[rest:].T).astype(np.int64)
     return out
 
 
@@ -141,7 +143,7 @@ def _links(percent: int):
             return []
         ids = np.array([x[4] for x in run])
         sets = [x[5] for x in run]
-        n = np.array([len(x) for x in sets], np.float32)
+        n = np.array([len(x) for x in sets], np.int64)
         common = _common(sets, first)
         rest = 0 if first == len(run) else first
         return forest(100 * common >= percent * (n[:first, None] + n[None, rest:] - common), ids[:first], ids[rest:])
@@ -163,20 +165,92 @@ def _links(percent: int):
     return run
 
 
-def confirmed(clusters: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """A forest (a, b) of the links inside each cluster of candidates; links hold on the full sets.
+def _spokes(percent: int):
+    """Runs of (cluster, i, j, b, id, set), a centre (b = 0) and then members, to the links (centre, member)."""
 
-    Clusters (id, cluster) are cut into blocks of about MEMBERS; each two blocks meet once, and what they return is at
-    most one edge for each member, whatever the number of links.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, centres = None, []
+        for batch in batches:
+            out = []
+            for *key, b, i, s in zip(*(batch.column(k).to_pylist() for k in range(5)), batch.column(5)):
+                x = s.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                if key != at:
+                    at, centres = key, []
+                if b == 0:
+                    centres.append((i, x))
+                    continue
+                for c, y in centres:
+                    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                    if 100 * both >= percent * (len(x) + len(y) - both):
+                        out.append((c, i))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def _compare(places: DataFrame, texts: DataFrame, k: int, compare) -> DataFrame:
+    """Brings the full sets of (id, cluster, i, j, b) together by (cluster, i, j), in order of b, and compares them. Sets are made once for each text."""
+    places = stage(places, "places")
+    small = places.count() * 40 <= BROADCAST_BYTES
+    by_id = places.groupBy("id").agg(F.collect_list(F.struct("cluster", "i", "j", "b")).alias("places"))
+    sets = texts.join(F.broadcast(by_id) if small else by_id, "id").select("id", "places", "text")
+    sets = sets.mapInArrow(_sets(k), "id long, places array<struct<cluster:long,i:int,j:int,b:int>>, set array<long>")
+    runs = sets.select(F.explode("places").alias("p"), "id", "set").select("p.cluster", "p.i", "p.j", "p.b", "id", "set")
+    runs = runs.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "b")
+    return stage(runs.mapInArrow(compare, "a long, b long"), "links")
+
+
+def _pieces() -> Column:
+    """How many blocks the aggregated rows need, by number and by bytes of their sets."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / MEMBERS), F.ceil(F.sum(F.col("n") * 8) / BLOCK_BYTES)).cast("int")
+
+
+def spokes(candidates: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links among the candidates (a, b), a the smallest of its buckets: every a meets its members in pieces, so a is copied once for each piece."""
+    of = candidates.join(nodes.select(F.col("id").alias("b"), "n"), "b")
+    sizes = of.groupBy("a").agg(_pieces().alias("pieces"))
+    members = join_counted(candidates, sizes.join(candidates.groupBy("a").agg(F.count(F.lit(1)).alias("_c")), "a"), ["a"], "_c", candidates.count())
+    members = members.select(F.col("b").alias("id"), F.col("a").alias("cluster"), F.pmod(F.xxhash64("b"), F.col("pieces")).cast("int").alias("i"), F.lit(0).alias("j"), F.lit(1).alias("b"))
+    centres = sizes.select(F.col("a").alias("id"), F.col("a").alias("cluster"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("b"))
+    return _compare(members.unionByName(centres), texts, k, _spokes(percent))
+
+
+def unsettled(candidates: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """(cluster, id, n, grp) of the nodes that share a bucket with a node of another group; candidates connect groups to clusters.
+
+    ``groups`` (id, grp) are the components of the links found so far; nodes without links are groups of their own.
+    """
+    of = lambda c: groups.select(F.col("id").alias(c), F.col("grp").alias(f"g{c}"))
+    edges = candidates.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    edges = stage(edges.select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")).where("a <> b").distinct(), "between")
+    clusters = connected_components(edges).select(F.col("node").alias("grp"), F.col("component").alias("cluster"))
+    some = nodes.join(groups, "id", "left").withColumn("grp", F.coalesce("grp", "id")).join(clusters, "grp")
+    some = stage(some.select("cluster", "id", "n", "grp", "sig"), "some")
+    keys = stage(some.select("id", "sig").mapInArrow(_keys, "key long, id long").join(some.select("id", "grp"), "id"), "keys")
+    open_ = keys.groupBy("key").agg(F.min("grp").alias("l"), F.max("grp").alias("h"), F.count(F.lit(1)).alias("_c")).where("l < h").select("key", "_c")
+    open_ids = join_counted(keys, open_, ["key"], "_c", keys.count()).select("id").distinct()
+    return stage(some.drop("sig").join(open_ids, "id"), "unsettled")
+
+
+def across(left: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """A forest (a, b) of the links between groups of a cluster, from (cluster, id, n, grp).
+
+    Groups of MEMBERS and more are cut into blocks of their own, smaller ones share blocks. Blocks of one cluster meet in
+    pairs, but two blocks of one large group never; what a pair returns is at most one edge for each member.
     """
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("blocks"))
-    placed = stage(clusters.join(sizes, "cluster").withColumn("b", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "placed")
-    small = placed.count() * 40 <= BROADCAST_BYTES
-    sets = texts.join(F.broadcast(placed) if small else placed, "id").select("cluster", "blocks", "b", "id", "text").mapInArrow(_sets(k), "cluster long, blocks int, b int, id long, set array<long>")
-    meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, F.col("b")).alias("i"), F.greatest(x, F.col("b")).alias("j")))
-    runs = sets.select("cluster", F.explode(meet).alias("m"), "b", "id", "set").select("cluster", "m.i", "m.j", "b", "id", "set")
-    runs = runs.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return stage(runs.mapInArrow(_links(percent), "a long, b long"), "links")
+    sizes = left.groupBy("cluster", "grp").agg(F.count(F.lit(1)).alias("c"), _pieces().alias("pieces"), F.sum("n").alias("n"))
+    large = sizes.where((F.col("c") >= MEMBERS) | (F.col("pieces") > 1))
+    large = large.withColumn("last", F.sum("pieces").over(Window.partitionBy("cluster").orderBy("grp").rowsBetween(Window.unboundedPreceding, 0))).select("cluster", "grp", "pieces", "last")
+    placed = left.join(large, ["cluster", "grp"], "left")
+    mixed = placed.where("pieces is null").groupBy("cluster").agg(_pieces().alias("mixed"))
+    total = large.groupBy("cluster").agg(F.max("last").alias("pure")).join(mixed, "cluster", "full").select("cluster", F.coalesce("pure", F.lit(0)).alias("pure"), F.coalesce("mixed", F.lit(0)).alias("mixed"))
+    placed = placed.join(total, "cluster")
+    block = F.when(F.col("pieces").isNull(), F.col("pure") + F.pmod(F.xxhash64("grp"), F.col("mixed"))).otherwise(F.col("last") - F.col("pieces") + F.pmod(F.xxhash64("id"), F.col("pieces"))).cast("int")
+    placed = placed.withColumn("x", block)
+    own = lambda y: F.col("pieces").isNotNull() & (y >= F.col("last") - F.col("pieces")) & (y < F.col("last"))
+    meets = F.filter(F.sequence(F.lit(0), (F.col("pure") + F.col("mixed") - 1).cast("int")), lambda y: ~own(y))
+    pairs = placed.select("id", "cluster", "x", F.explode(meets).alias("y")).select("id", "cluster", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), F.col("x").alias("b"))
+    return _compare(pairs, texts, k, _links(percent))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,9 +259,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     Two documents are linked when their sets of k-word shingles (A-Z lower-cased, words between ASCII white space) have
     100 * intersection >= percent * union; component_id is the smallest doc_id that links reach. Documents with equal
     sets are one node from the start. Each bucket of the multi-index join makes its members candidates of its smallest
-    member; candidates that connect are a cluster, which holds all pairs within the signature distance. Inside a cluster
-    all full sets are compared, block by block, and only a forest of the links is returned: a group of copies never
-    becomes all of its pairs, in no table.
+    member, with which their full sets are compared first (``spokes``): most groups of copies are linked by that. Two nodes
+    within the signature distance share a bucket, so what may still link are nodes that share one with a node of another
+    group (``unsettled``); those meet in blocks across groups (``across``), and a forest of their links is returned. A group of
+    copies never becomes all of its pairs, in no table.
 
     Null texts and texts without words have empty sets and link with nothing. Rows that share a doc_id count as one
     document; a null doc_id is linked with nothing and is its own (null) component. An empty table gives no rows;
@@ -199,9 +274,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     nodes = stage(nodes, "nodes")
     keys = nodes.select("id", "sig").mapInArrow(_keys, "key long, id long")
     lone = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key", "low")
-    candidates = keys.join(lone, "key").where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
-    clusters = stage(connected_components(stage(candidates, "candidates")).select(F.col("node").alias("id"), F.col("component").alias("cluster")), "clusters")
-    links = confirmed(clusters, texts, k, percent)
+    candidates = stage(keys.join(lone, "key").where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct(), "candidates")
+    if rows.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        texts = texts.dropDuplicates(["id", "text"])
+    links = spokes(candidates, nodes, texts, k, percent)
+    groups = stage(connected_components(links).select(F.col("node").alias("id"), F.col("component").alias("grp")), "groups")
+    left = unsettled(candidates, nodes, groups)
+    links = links.unionByName(across(left, texts, k, percent))
     same = rows.where("n > 0 and doc_id is not null").join(nodes.select("p", "q", "id"), ["p", "q"]).where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")).distinct()
     every = links.unionByName(same)
     parts = connected_components(every).select(F.col("node").alias("doc_id"), "component")

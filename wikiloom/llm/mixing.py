@@ -5,9 +5,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import ranked, stage
+from .common import fan_out, numbered, ranked, stage
 
 #: Words that the greedy pass leaves for the dynamic programme, which fits up to four times as many word by word; documents
 #: longer than that are taken greedily or fitted in larger units, whichever comes nearer.
@@ -98,19 +97,19 @@ def targets(by_source: DataFrame, weights: tuple[int, ...], cap: int) -> DataFra
     """Adds _si (rank of the source by code point, null last) and target to (source, source_size).
 
     Targets share the sum of all sizes by weight and stop at ``cap`` times the source's size; the excess goes to the
-    others by weight until none is above. In closed form: with sources in order of cap/weight, the first k stop and the
-    rest share what is left. The window runs over one row per source.
+    others by weight until none is above. Each round closes the sources that the level of the open ones would lift over
+    their cap and raises the level; only sums come to the driver, and the level never falls, so rounds end.
     """
-    t = by_source.withColumn("_si", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
+    t = numbered(by_source, [F.col("source").isNull(), F.col("source")], "_si", "mix")
     t = t.withColumn("_w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod("_si", F.lit(len(weights))) + 1).cast("int")))
     t = t.withColumn("_cap", F.lit(float(cap)) * F.col("source_size"))
-    every = Window.partitionBy(F.lit(1))
-    up = every.orderBy(F.col("_cap") / F.col("_w"), "_si")
-    before, after = up.rowsBetween(Window.unboundedPreceding, -1), up.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    t = t.withColumn("_level", (F.sum("source_size").over(every) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))) / F.sum("_w").over(after))
-    fits = F.when(F.col("_level") * F.col("_w") <= F.col("_cap"), F.struct((F.col("_cap") / F.col("_w")).alias("r"), "_si", "_level"))
-    t = t.withColumn("_lambda", F.min(fits).over(every)["_level"])
-    return t.withColumn("target", F.least(F.col("_cap"), F.col("_w") * F.coalesce("_lambda", F.lit(0.0)))).drop("_w", "_cap", "_level", "_lambda")
+    level, closed = 0.0, -1
+    while True:
+        shut = F.col("_cap") <= F.col("_w") * F.lit(level)
+        total, capped, open_, n = t.agg(F.sum("source_size"), F.sum(F.when(shut, F.col("_cap"))), F.sum(F.when(~shut, F.col("_w"))), F.count_if(shut)).first()
+        if not open_ or n == closed:
+            return t.withColumn("target", F.least(F.col("_cap"), F.col("_w") * F.lit(level))).drop("_w", "_cap")
+        level, closed = (total - (capped or 0.0)) / open_, n
 
 
 def row_hash(doc_id: Column, text: Column, seed: int = 17) -> Column:
@@ -140,6 +139,6 @@ def mix_to_targets(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: i
     # The null source needs a value to be a join key; the flag keeps it apart from a source named "".
     rows = rows.withColumn("_null", F.col("source").isNull()).withColumn("_key", F.coalesce("source", F.lit("")))
     plan = plan.withColumn("_null", F.col("_s").isNull()).withColumn("_key", F.coalesce("_s", F.lit(""))).withColumnRenamed("_n", "size").drop("_s")
-    at = ranked(rows, ["_key", "_null", "size"], [F.col("_h"), F.col("doc_id")], F.col("_h"), "_rank")
+    at = ranked(rows, ["_key", "_null", "size"], [F.col("_h"), F.col("doc_id")], F.col("_h"), "_rank", fan_out(rows.count()))
     out = at.join(plan, ["_key", "_null", "size"]).withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(F.col("_whole") + (F.col("_rank") < F.col("_pick")).cast("int")))
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), F.col("_h").alias("row_hash"))

@@ -40,7 +40,9 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
     langs, table = fit(docs, "doc_id", "text", "lang")
     a = identify(docs, langs, table, ["doc_id"], declared=F.col("lang"), host=F.col("source"))
-    declared = F.nullif(F.regexp_extract("html", r"(?i)<html\b[^>]*?\slang\s*=\s*[\"']?([a-z]+)", 1), F.lit(""))
+    # Possessive, first of its kind: read once, whatever the page.
+    attributes = F.regexp_extract("html", r"(?i)<html(?=[\s>])([^>]*+)", 1)
+    declared = F.nullif(F.regexp_extract(attributes, r"(?i)(?:^|\s)lang\s*+=\s*+[\"']?([a-z]++)", 1), F.lit(""))
     pages = pages.withColumn("_url", F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1))
     b = identify(pages, langs, table, ["page_id"], text_col="html", declared=F.lower(declared), host=F.nullif(F.lower("_url"), F.lit("")), prepare=_page_text)
     found = ["n_grams", "declared", "lang", "probability", "accepted"]

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import literal_table, stage
+from .common import fan_out, literal_table, stage
 
-SALTS = 64
+#: Equal rows that one task lays out one by one; more are cut into ranges, dealt to all tasks.
+RANGE = 1 << 16
 
 
 def ring(n_shards: int, vnodes: int, segments: int) -> list[tuple[int, int]]:
@@ -66,7 +67,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, vnodes: int = 128, id_co
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = docs.select(docs[id_col].alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("_h"))
     rows = rows.withColumn("_seg", F.shiftrightunsigned("_h", 64 - (segments.bit_length() - 1)).cast("int"))
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(fan_out(docs.count()))).cast("int"))
     cols = ["_seg", "_salt", "doc_id", "size", "text_crc32"]
     # Equal rows meet in one counted row, so that no repeated row is hot.
     rows = stage(rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")), "shard")
@@ -79,6 +80,10 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, vnodes: int = 128, id_co
     inside = Window.partitionBy("_seg", "_salt").orderBy(F.xxhash64("doc_id"), "doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
     at = rows.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(pieces, ["_seg", "_salt"])
     first = F.col("_before") + F.col("_in")
-    at = at.select("_seg", "doc_id", "size", "text_crc32", F.explode(F.sequence(first, first + F.col("_n") - 1)).alias("_rank"))
+    at = at.select("_seg", "doc_id", "size", "text_crc32", "_n", first.alias("_first"))
+    many = at.where(F.col("_n") > RANGE).withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(RANGE).cast("long"))))
+    many = many.select("_seg", "doc_id", "size", "text_crc32", F.least(F.lit(RANGE), F.col("_n") - F.col("_at")).alias("_n"), (F.col("_first") + F.col("_at")).alias("_first")).repartition("_first")
+    at = at.where(F.col("_n") <= RANGE).unionByName(many)
+    at = at.select("_seg", "doc_id", "size", "text_crc32", F.explode(F.sequence("_first", F.col("_first") + F.col("_n") - 1)).alias("_rank"))
     out = at.join(F.broadcast(plan_df.withColumnRenamed("_seg", "_pseg")), (F.col("_seg") == F.col("_pseg")) & (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi")))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", (F.col("_slot") + F.col("_rank") - F.col("_lo")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, unstage
+from .common import join_counted, reads_alike, stage, unstage
 
 #: Bytes of an anchor, contexts that one construction holds, distinct contexts of an anchor over which its strings are
 #: counted by hash instead (about 1.5 KB of a worker's memory each), and bytes of text worked on at once.
@@ -266,16 +266,17 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     """
     left = length - ANCHOR
     raw = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).cast("binary").alias("text"))
-    raw = raw.withColumn("dk", F.xxhash64("doc_id", "text"))
+    # Numbers of rows hold as long as each reading is alike.
+    raw = (raw if reads_alike(raw) else stage(raw, "texts")).withColumn("dk", F.monotonically_increasing_id())
     found = stage(raw.select("dk", "text").mapInArrow(_find(length), "dk long, pos int, h long, c long"), "anchors")
     # Most anchors stand alone: they go before anything else is known of them than their hash.
-    shared = stage(found.groupBy("h").agg(F.count(F.lit(1)).alias("total")).where("total > 1").select("h"), "shared")
-    near = stage(found.join(shared, "h", "left_semi").select("dk", "pos", "h", "c"), "anchors")
+    shared = stage(found.groupBy("h").agg(F.count(F.lit(1)).alias("total")).where("total > 1"), "shared")
+    near = stage(join_counted(found, shared, ["h"], "total", found.count()).select("dk", "pos", "h", "c"), "anchors")
     unstage(found, shared)
     found = near
     kinds = stage(found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("dk", "pos")).alias("at")), "kinds")
-    unlike = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where("d > 1")
-    unsettled = kinds.join(unlike, "h").select("at.dk", F.struct("at.pos", "h", "c", "d").alias("x")).groupBy("dk").agg(F.collect_list("x").alias("x"))
+    unlike = stage(kinds.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where("d > 1"), "unlike")
+    unsettled = join_counted(kinds, unlike, ["h"], "d", kinds.count()).select("at.dk", F.struct("at.pos", "h", "c", "d").alias("x")).groupBy("dk").agg(F.collect_list("x").alias("x"))
     unsettled = stage(unsettled, "unsettled")
 
     packed = raw.select("doc_id", "dk", "text").mapInArrow(_pack, "doc_id long, dk long, text binary")
@@ -284,17 +285,16 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
         marks = unsettled.select("dk", F.filter("x", test).alias("x")).where(F.size("x") > 0)
         return packed.join(marks, "dk").select("text", "x").mapInArrow(_contexts(length), "h long, c long, a int, ctx binary")
 
-    # Rows equal in id and text have one key and give its contexts once each; the construction takes one of them.
     few = contexts(lambda x: x["d"] <= HOT).repartition("h").sortWithinPartitions("h", "c").mapInArrow(_construct(length), "h long, c long, lo int, hi int")
     few = stage(few, "few")
     hot = stage(contexts(lambda x: x["d"] > HOT).mapInArrow(_strings(length), "s1 long, s2 long, h long, c long, lo int"), "strings")
-    unstage(unsettled)
+    unstage(unsettled, unlike)
     # A string at a place fixes the anchor, so c alone tells its contexts apart.
     twice = hot.groupBy("s1", "s2").agg(F.min("c").alias("f"), F.max("c").alias("l")).where("f <> l").select("s1", "s2")
     many = hot.join(twice, ["s1", "s2"]).groupBy("h", "c").agg(F.min("lo").alias("lo"), (F.max("lo") + length).alias("hi"))
     once = kinds.where("n = 1").select("h", "c", "at.dk", "at.pos")
     single = few.unionByName(many).join(once, ["h", "c"]).select("dk", (F.col("pos") + F.col("lo")).alias("lo"), (F.col("pos") + F.col("hi")).alias("hi"))
-    several = found.join(kinds.where("n > 1").select("h", "c"), ["h", "c"]).select("dk", F.greatest(F.col("pos") - left, F.lit(0)).alias("lo"), (F.col("pos") + length).alias("hi"))
+    several = join_counted(found, kinds.where("n > 1").select("h", "c", "n"), ["h", "c"], "n", found.count()).select("dk", F.greatest(F.col("pos") - left, F.lit(0)).alias("lo"), (F.col("pos") + length).alias("hi"))
     spans = single.unionByName(several).groupBy("dk").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
     spans = stage(spans.mapInArrow(_merge, "dk long, spans array<int>"), "spans")
     unstage(few, hot, kinds, found)

@@ -15,6 +15,7 @@ from wikiloom.operators.expand import Page, include
 from wikiloom.operators.links import caption, extract_links, extract_urls, gallery_to_links, imagemap_to_links, normalize_date
 from wikiloom.operators.scan import bind_params, mask, split_fields, split_templates, substitute, unmask
 from wikiloom.operators.titles import normalize_title
+from wikiloom.plans import file_queries  # noqa: F401
 from wikiloom.plans import queries as Q
 from wikiloom.plans.diagnostics import rejects
 from wikiloom.plans.pages import transform
@@ -190,10 +191,10 @@ def test_first_wins(spark):
 def test_refresh(spark, tmp_path):
     from wikiloom.streaming.refresh import refresh
 
-    page = "<mediawiki><page><title>{}</title><id>{}</id><revision><text>{}</text></revision></page></mediawiki>"
-    for n, (title, i, text) in enumerate([("A", 1, "old"), ("A", 1, "new")]):
+    page = "<page><title>A</title><id>1</id><revision><timestamp>{}</timestamp><text>{}</text></revision></page>"
+    for n, revisions in enumerate([[("2023-01-01T00:00:00Z", "old")], [("2024-05-05T00:00:00Z", "new"), ("2024-01-01T00:00:00Z", "zz older")]]):
         (tmp_path / "in").mkdir(exist_ok=True)
-        (tmp_path / f"in/{n}.xml").write_text(page.format(title, i, text))
+        (tmp_path / f"in/{n}.xml").write_text("<mediawiki>" + "".join(page.format(*r) for r in revisions) + "</mediawiki>")
         refresh(spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "ck")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "table/version=1")).collect()
     assert [(r.id, r.text, r.status) for r in got] == [(1, "new", "updated")]

@@ -21,6 +21,12 @@ _EN_DISAMBIG = r"disambiguation|disambig|disambig-cleanup|disamb|dab|shipindex|h
 _RU_DISAMBIG = r"неоднозначность|disambig|disambig-cleanup|dab|hndis|surname|geodis|schooldis|hospitaldis|mathdab"
 _SL_DISAMBIG = r"razločitev|razločitveni|disambig"
 _EN_INTERWIKI = ("File", "Wookieepedia", "Memoryalpha", "Wowwiki", "Marveldatabase", "Dcdatabase")
+#: Image fields that are options, and parameters that are no caption.
+IMAGE_OPTIONS = r"[0-9x]+px(?:px)?|left|right|center|none|thumb(?:nail)?|frame(?:less|d)?|border|baseline|middle|sub|super|text-top|text-bottom|top|bottom"
+IMAGE_PARAMETERS = r"alt|link|upright|thumb(?:nail)?"
+#: Classes of elements that hold metadata.
+METADATA_CLASSES = r"metadata|dablink|sisterproject|longitude|latitude|geo-multi-punct|geo-dec|geo"
+PROTOCOLS = ("http", "https", "ftp", "irc", "gopher", "telnet", "nntp", "worldwind", "mailto", "news")
 MONTH_DAYS = (31, 29, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 
 def register(spark: SparkSession) -> list[str]:
@@ -18,5 +17,3 @@ def register(spark: SparkSession) -> list[str]:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name} {body}")
     return sorted(made)
 
-
-__all__ = ["F", "register"]

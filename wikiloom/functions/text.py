@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import MONTH_DAYS, SiteConfig
+from ..config import IMAGE_OPTIONS, IMAGE_PARAMETERS, METADATA_CLASSES, MONTH_DAYS, PROTOCOLS, SiteConfig
 
 URL = r"(?U)[a-z]++:(?:[\w!#$&'()*+,\-./:;=?@_~]++|%[0-9a-fA-F]{2})++"
-PROTOCOLS = ("http", "https", "ftp", "irc", "gopher", "telnet", "nntp", "worldwind", "mailto", "news")
 
 
 def let(value: Column, body) -> Column:
@@ -64,8 +63,7 @@ def strip_tables(s: Column, passes: int = 5) -> Column:
 
 
 def strip_metadata(s: Column) -> Column:
-    names = "metadata|dablink|sisterproject|longitude|latitude|geo-multi-punct|geo-dec|geo"
-    return F.regexp_replace(s, rf"(?is)<(div|span)\s[^>]*?class=\"[^\">]*?(?:{names})[^\">]*\"[^>]*>[^<]*</\1>", " ")
+    return F.regexp_replace(s, rf"(?is)<(div|span)\s[^>]*?class=\"[^\">]*?(?:{METADATA_CLASSES})[^\">]*\"[^>]*>[^<]*</\1>", " ")
 
 
 def strip_emphasis(s: Column) -> Column:
@@ -76,21 +74,24 @@ def strip_emphasis(s: Column) -> Column:
 
 
 def collapse_newlines(s: Column) -> Column:
-    return F.regexp_replace(s, r"[ \t\x0b\f\r]*\n[ \t\x0b\f\r]*\n\s*", "\n\n")
+    return F.regexp_replace(s, r"(?U)[ \t\x0b\f\r]*\n[ \t\x0b\f\r]*\n\s*", "\n\n")
 
 
-def strip_tags(s: Column) -> Column:
-    return F.regexp_replace(s, r"</?[A-Za-z][^<>]*>", " ")
+def strip_tags(s: Column, passes: int = 3) -> Column:
+    """Tags to blanks, and what becomes a tag by that, ``passes`` times in all (pages go on until none is left)."""
+    for _ in range(passes):
+        s = F.regexp_replace(s, r"</?[A-Za-z][^<>]*>", " ")
+    return s
 
 
 def strip_entities(s: Column) -> Column:
-    return F.regexp_replace(s, r"&#?[0-9A-Za-z_]+;", " ")
+    return F.regexp_replace(s, r"(?U)&#?\w+;", " ")
 
 
 def headings(s: Column) -> Column:
     for n, tag in ((5, "h4"), (4, "h3"), (3, "h2"), (2, "h1")):
         q = "=" * n
-        s = F.regexp_replace(s, rf"(?m)^{q}([^\n]*?){q}[ \t]*$", f"<{tag}>$1</{tag}>")
+        s = F.regexp_replace(s, rf"(?mdU)^{q}([^\n]*?){q}(?=[^\S\n]*$)", f"<{tag}>$1</{tag}>")
     return s
 
 
@@ -178,7 +179,7 @@ def dump_date(path: Column) -> Column:
 
 def image_caption(fields: Column) -> Column:
     """The longest field that is no size, placement, type or named parameter; the first of equals; else empty."""
-    skip = r"(?is)^\s*(?:[0-9x]+px(?:px)?|left|right|center|none|thumb(?:nail)?|frame(?:less|d)?|border|baseline|middle|sub|super|text-top|text-bottom|top|bottom)\s*$|^\s*(?:alt|link|upright|thumb(?:nail)?)="
+    skip = rf"(?is)^\s*(?:{IMAGE_OPTIONS})\s*$|^\s*(?:{IMAGE_PARAMETERS})="
     left = F.filter(fields, lambda x: ~x.rlike(skip))
     return F.aggregate(left, F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from ..config import SiteConfig
 from .scan import bind_params, mask, split_fields, split_templates, substitute, unmask
-from .titles import normalize_title, split_title
+from .titles import normalize_title
 
 #: name -> function(expand, arguments, page, cfg) -> text, or None for "no such function".
 PARSER_FUNCTIONS: dict[str, Callable] = {}
@@ -170,5 +170,3 @@ def include(text: str, page: Page, cfg: SiteConfig, level: int = 0) -> str:
         parts[i] = _instantiate(call, page, cfg, level)
     return unmask("".join(parts), kept)
 
-
-__all__ = ["PARSER_FUNCTIONS", "Page", "include", "pad", "parser_function", "percent_encode", "split_title"]

@@ -5,8 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from ..config import MONTH_DAYS, SiteConfig
-from ..functions.text import PROTOCOLS
+from ..config import IMAGE_OPTIONS, IMAGE_PARAMETERS, MONTH_DAYS, PROTOCOLS, SiteConfig
 from .titles import full_title, split_title
 
 #: A resolved link stands in the text as BEGIN id MIDDLE anchor END; the marks are as long as those whose offsets are the contract.
@@ -14,7 +13,7 @@ BEGIN, MIDDLE, END = "\ue000" * 8, "\ue001" * 2, "\ue002" * 8
 # The prefix is tried once a word, at its start: long words cost no more than their length.
 _LINK = re.compile(r"((?:(?<!\w)\w++)?)\[\[([^\[]*?)\]\](\w*)", re.S)
 _SECTION = re.compile(r"\s*#")
-_SKIP = re.compile(r"\s*(?:[0-9x]+px(?:px)?|left|right|center|none|thumb(?:nail)?|frame(?:less|d)?|border|baseline|middle|sub|super|text-top|text-bottom|top|bottom)\s*\Z|\s*(?:alt|link|upright|thumb(?:nail)?)=", re.I)
+_SKIP = re.compile(rf"\s*(?:{IMAGE_OPTIONS})\s*\Z|\s*(?:{IMAGE_PARAMETERS})=", re.I)
 _URL = r"[a-z]+:(?:[\w!#$&'()*+,\-./:;=?@_~]|%[0-9a-fA-F]{2})+"
 _BRACKETED = re.compile(rf"\[({_URL})([^\]\n]*)\]")
 _BARE = re.compile(_URL)

@@ -5,14 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from ..config import SiteConfig
+from ..config import METADATA_CLASSES, SiteConfig
 from .clean import clean_text
 from .expand import Page, include
 from .links import extract_links, extract_urls, gallery_to_links, imagemap_to_links
 
 _BULLET = re.compile(r"\s*(?:\*\*|##|:#|:\*|#|\*)(.*)\Z", re.S)
 _HEADING = re.compile(r"\s*==")
-_META = re.compile(r'<(div|span)\s[^>]*?class="[^">]*?(?:metadata|dablink|sisterproject|longitude|latitude|geo-multi-punct|geo-dec|geo)[^">]*"[^>]*>[^<]*</\1>', re.I | re.S)
+_META = re.compile(rf'<(div|span)\s[^>]*?class="[^">]*?(?:{METADATA_CLASSES})[^">]*"[^>]*>[^<]*</\1>', re.I | re.S)
 
 
 def related_pieces(text: str, cfg: SiteConfig) -> list[str]:

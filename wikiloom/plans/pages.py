@@ -70,12 +70,12 @@ def transform(raw: DataFrame, lookups: Lookups, cfg: SiteConfig, urls: bool = Tr
     pages = titled(raw, lookups.known, cfg).where(ns_ok(F.col("ns"), cfg.transform_ns) & F.col("redirect").isNull())
     source = T.strip_comments(F.col("text"))
     base = pages.select(
-        "id", "ns", "name", "full", "timestamp", F.length("text").alias("org_length"), source.alias("source"),
+        "part", "pos", "id", "ns", "name", "full", "timestamp", F.length("text").alias("org_length"), source.alias("source"),
         T.is_stub(source).alias("is_stub"), T.is_disambig(source, F.col("full"), cfg).alias("is_disambig"),
     )
     lookup = lookups.resolved()
     language = T.language_names(spark)
-    fields = "id BIGINT, ns STRING, name STRING, full STRING, timestamp STRING, org_length INT, is_stub BOOLEAN, is_disambig BOOLEAN"
+    fields = "part STRING, pos BIGINT, id BIGINT, ns STRING, name STRING, full STRING, timestamp STRING, org_length INT, is_stub BOOLEAN, is_disambig BOOLEAN"
     schema = f"{fields}, asked ARRAY<STRING>, disambig_links ARRAY<ARRAY<{LINK}>>, templates ARRAY<STRUCT<template_id: BIGINT, params: MAP<STRING, STRING>>>, external_links ARRAY<STRUCT<url: STRING, anchor: STRING>>, bare_urls ARRAY<STRING>, wiki_links ARRAY<{LINK}>, interwiki ARRAY<STRUCT<ns: STRING, title: STRING>>, related ARRAY<BIGINT>, categories ARRAY<BIGINT>, text STRING"
     answer = "ARRAY<STRUCT<title: STRING, id: BIGINT, body: STRING>>"
     lookup = stage(lookup)
@@ -89,7 +89,7 @@ def transform(raw: DataFrame, lookups: Lookups, cfg: SiteConfig, urls: bool = Tr
         keyed = f"{schema}, page_key BIGINT".replace("is_disambig BOOLEAN,", "is_disambig BOOLEAN, page_key BIGINT,").removesuffix(", page_key BIGINT")
         # A page that asks again asks for titles that were not answered before, so this ends.
         while True:
-            tried = stage(todo.select("id", "ns", "name", "full", "timestamp", "org_length", "source", "is_stub", "is_disambig", "page_key", "answers").mapInPandas(_parse(lookups.known, language, cfg, urls, None), keyed))
+            tried = stage(todo.select("part", "pos", "id", "ns", "name", "full", "timestamp", "org_length", "source", "is_stub", "is_disambig", "page_key", "answers").mapInPandas(_parse(lookups.known, language, cfg, urls, None), keyed))
             ready = tried.where(F.size("asked") == 0).drop("page_key")
             done = ready if done is None else done.unionByName(ready)
             asked = tried.where(F.size("asked") > 0).select("page_key", F.explode("asked").alias("title"))
@@ -99,5 +99,5 @@ def transform(raw: DataFrame, lookups: Lookups, cfg: SiteConfig, urls: bool = Tr
             todo = stage(todo.join(got, "page_key").withColumn("answers", F.concat("answers", "new")).drop("new"))
     return done.select(
         "id", F.col("full").alias("title"), "ns", "timestamp", "org_length", F.length("text").alias("new_length"), "is_stub", "is_disambig", (F.col("ns") == cfg.category_ns).alias("is_category"),
-        (F.col("ns") == cfg.image_ns).alias("is_image"), "text", "categories", "related", "wiki_links", "interwiki", "external_links", "bare_urls", "disambig_links", "templates",
+        (F.col("ns") == cfg.image_ns).alias("is_image"), "text", "categories", "related", "wiki_links", "interwiki", "external_links", "bare_urls", "disambig_links", "templates", "part", "pos",
     )

@@ -312,13 +312,17 @@ def riffle(spark, sf):
     return tools.merge_pages(old, c.where("c_custkey % 2 = 0").selectExpr("c_custkey as id", "concat('new ', c_name) as title"))
 
 
-@query()
+_TEMPLATE_PAGES = "(VALUES (1, 'Template:Part box'), (2, 'Template:Pbox'), (3, 'Template:Pb'))"
+_DRAW = "((id % 2147483648) * 2654435761 + 12345) % 4294967296 // 65536"
+
+
+@query(f"SELECT p_partkey + 500000 AS id, 'Part ' || p_partkey AS title FROM (SELECT p_partkey, p_partkey + 500000 AS id FROM part) WHERE {_DRAW} % 50 = 1 UNION ALL SELECT * FROM {_TEMPLATE_PAGES} t(id, title)")
 def sample(spark, sf):
     """T1."""
     return tools.sample_pages(_parts(spark, sf), one_in=50, cap=None).select("id", "title")
 
 
-@query()
+@query(f"SELECT id, CAST({_DRAW} % 4 AS INTEGER) AS split FROM (SELECT p_partkey + 500000 AS id FROM part UNION ALL SELECT unnest([1, 2, 3, 4]))")
 def split(spark, sf):
     """T2."""
     return tools.split_pages(_parts(spark, sf), 4).select("id", "split")

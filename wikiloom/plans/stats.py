@@ -28,9 +28,9 @@ def inlinks(pages: DataFrame) -> DataFrame:
 
 
 def category_tree(pages: DataFrame) -> DataFrame:
-    """(parent_id, children): category pages by category, children in order of id."""
-    x = pages.where("is_category").select("id", F.explode("categories").alias("parent_id"))
-    return x.groupBy("parent_id").agg(F.sort_array(F.collect_list("id")).alias("children"))
+    """(parent_id, children): category pages by category, children in the order of their pages in the dump."""
+    x = pages.where("is_category").select(F.struct("part", "pos", "id").alias("child"), F.explode("categories").alias("parent_id"))
+    return x.groupBy("parent_id").agg(F.transform(F.sort_array(F.collect_list("child")), lambda c: c["id"]).alias("children"))
 
 
 def template_usage(pages: DataFrame, templates: DataFrame, param: str) -> DataFrame:

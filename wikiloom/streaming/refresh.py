@@ -17,10 +17,11 @@ def refresh(spark: SparkSession, folder: str, table: str, checkpoint: str) -> St
     and a batch that is run again overwrites its own version only.
     """
     rows = spark.readStream.format("xml").option("rowTag", "page").option("ignoreSurroundingSpaces", "false").schema(PAGE).load(folder)
-    rows = rows.select("id", "title", F.coalesce("revision.text", F.lit("")).alias("text"))
+    rows = rows.select("id", "title", F.coalesce("revision.text", F.lit("")).alias("text"), F.coalesce("revision.timestamp", F.lit("")).alias("timestamp"))
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        new = batch.dropDuplicates(["id"])
+        # The newest revision of a page; timestamps of dumps compare as text.
+        new = batch.groupBy("id").agg(F.max(F.struct("timestamp", "title", "text")).alias("r")).select("id", "r.title", "r.text", "r.timestamp")
         out = new.withColumn("status", F.lit("new")) if epoch == 0 else merge_pages(spark.read.parquet(f"{table}/version={epoch - 1}").drop("status", "version"), new)
         out.write.mode("overwrite").parquet(f"{table}/version={epoch}")
 

@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -34,13 +34,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir[app]
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it again: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
+def stage(df: DataFrame, name: str, measure: Column | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it again: cuts the lineage and survives lost executors.
+
+    With ``measure``, an aggregate that is taken while the rows are written, the result has it as ``_measured``.
+    """
+    spark, seen = df.sparkSession, Observation()
+    df = df if measure is None else df.observe(seen, measure.alias("m"))
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
+    if measure is not None:
+        out._measured = seen.get["m"]
     return out
 
 
@@ -145,17 +151,19 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     def lowest(e: DataFrame, total: int) -> DataFrame:
         return join_counted(e, e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_c")), ["u"], "_c", total, n_keys=total)
 
-    e = stage(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "cc")
-    seen, n = None, e.count()
-    while True:
+    n = F.count(F.lit(1))
+    e = stage(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "cc", F.struct(n.alias("n")))
+    seen, total = None, e._measured.n
+    while total:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = lowest(both, 2 * n).withColumn("m", F.least("m", "u")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        large = stage(large.distinct(), "cc")
-        met = lowest(large, large.count())
+        large = lowest(both, 2 * total).withColumn("m", F.least("m", "u")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = stage(large.distinct(), "cc", n)
+        met = lowest(large, large._measured)
         small = met.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).where("u <> v").unionByName(met.select("u", F.col("m").alias("v")))
-        new = stage(small.distinct(), "cc")
+        new = stage(small.distinct(), "cc", F.struct(n.alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hash")))
         drop(e, large)
-        e, now = new, new.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        e, now = new, new._measured
         if now == seen:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
-        seen, n = now, now[0]
+            break
+        seen, total = now, now.n
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import connected_components, join_counted, stage
+from .common import connected_components, drop, join_counted, stage
 
 #: A signature has CHUNKS x WIDTH symbols of 16 bits. Of two signatures that differ in at most CHUNKS * (ERRORS + 1) - 1
 #: symbols, some chunk differs in at most ERRORS (pigeonhole); with one allowed error, a chunk is looked up once for each
@@ -208,32 +208,42 @@ def _pieces() -> Column:
 def spokes(candidates: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links among the candidates (a, b), a the smallest of its buckets: every a meets its members in pieces, so a is copied once for each piece."""
     of = candidates.join(nodes.select(F.col("id").alias("b"), "n"), "b")
-    sizes = of.groupBy("a").agg(_pieces().alias("pieces"))
-    members = join_counted(candidates, sizes.join(candidates.groupBy("a").agg(F.count(F.lit(1)).alias("_c")), "a"), ["a"], "_c", candidates.count())
+    sizes = stage(of.groupBy("a").agg(_pieces().alias("pieces"), F.count(F.lit(1)).alias("_c")), "sizes", F.count(F.lit(1)))
+    members = join_counted(candidates, sizes, ["a"], "_c", candidates._measured, n_keys=sizes._measured)
     members = members.select(F.col("b").alias("id"), F.col("a").alias("cluster"), F.pmod(F.xxhash64("b"), F.col("pieces")).cast("int").alias("i"), F.lit(0).alias("j"), F.lit(1).alias("b"))
     centres = sizes.select(F.col("a").alias("id"), F.col("a").alias("cluster"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("b"))
     return _compare(members.unionByName(centres), texts, k, _spokes(percent))
 
 
+def _grouped_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, n, grp, sig) to the lookup keys of each signature with the id, n and group."""
+    for batch in batches:
+        at = 0
+        for keys in _keys(iter([batch.select(["id", "sig"])])):
+            rows = pa.array(np.repeat(np.arange(at, at + keys.num_rows // (CHUNKS * WIDTH)), CHUNKS * WIDTH))
+            at += keys.num_rows // (CHUNKS * WIDTH)
+            yield pa.RecordBatch.from_arrays([keys.column(0), *(batch.column(i).take(rows) for i in range(3))], names=["cluster", "id", "n", "grp"])
+
+
 def unsettled(candidates: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """(cluster, id, n, grp) of the nodes that share a bucket with a node of another group; candidates connect groups to clusters.
+    """(cluster, id, n, grp) of the nodes that share a bucket, which is the cluster, with a node of another group.
 
-    ``groups`` (id, grp) are the components of the links found so far; nodes without links are groups of their own.
+    ``groups`` (id, grp) are the components of the links found so far; nodes without links are groups of their own. Only
+    groups that a candidate edge leaves are looked at; buckets with the same members count once.
     """
     of = lambda c: groups.select(F.col("id").alias(c), F.col("grp").alias(f"g{c}"))
-    edges = candidates.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    edges = stage(edges.select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")).where("a <> b").distinct(), "between")
-    clusters = connected_components(edges).select(F.col("node").alias("grp"), F.col("component").alias("cluster"))
-    some = nodes.join(groups, "id", "left").withColumn("grp", F.coalesce("grp", "id")).join(clusters, "grp")
-    some = stage(some.select("cluster", "id", "n", "grp", "sig"), "some")
-    keys = stage(some.select("id", "sig").mapInArrow(_keys, "key long, id long").join(some.select("id", "grp"), "id"), "keys")
-    open_ = keys.groupBy("key").agg(F.min("grp").alias("l"), F.max("grp").alias("h"), F.count(F.lit(1)).alias("_c")).where("l < h").select("key", "_c")
-    open_ids = join_counted(keys, open_, ["key"], "_c", keys.count()).select("id").distinct()
-    return stage(some.drop("sig").join(open_ids, "id"), "unsettled")
+    edges = candidates.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ga", "a").alias("ga"), F.coalesce("gb", "b").alias("gb")).where("ga <> gb")
+    open_groups = stage(edges.select(F.explode(F.array("ga", "gb")).alias("grp")).distinct(), "open")
+    some = nodes.join(groups, "id", "left").withColumn("grp", F.coalesce("grp", "id")).join(open_groups, "grp", "left_semi")
+    keys = stage(some.select("id", "n", "grp", "sig").mapInArrow(_grouped_keys, "cluster long, id long, n long, grp long"), "keys", F.count(F.lit(1)))
+    mark = F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("mark")
+    buckets = keys.groupBy("cluster").agg(F.min("grp").alias("l"), F.max("grp").alias("h"), F.count(F.lit(1)).alias("_c"), mark).where("l < h")
+    buckets = stage(buckets.groupBy("_c", "mark").agg(F.min("cluster").alias("cluster")).select("cluster", "_c"), "buckets", F.count(F.lit(1)))
+    return stage(join_counted(keys, buckets, ["cluster"], "_c", keys._measured, n_keys=buckets._measured).select("cluster", "id", "n", "grp"), "unsettled", F.count(F.lit(1)))
 
 
 def across(left: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """A forest (a, b) of the links between groups of a cluster, from (cluster, id, n, grp).
+    """A forest (a, b) of the links in each bucket of several groups, from (cluster, id, n, grp); the bucket is the cluster.
 
     Groups of MEMBERS and more are cut into blocks of their own, smaller ones share blocks. Blocks of one cluster meet in
     pairs, but two blocks of one large group never; what a pair returns is at most one edge for each member.
@@ -270,19 +280,37 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     """
     texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").cast("binary").alias("text"))
     rows = stage(texts.mapInArrow(_sign(k), "doc_id long, n long, p long, q long, sig binary"), "sign")
-    nodes = rows.where("n > 0 and doc_id is not null").groupBy("p", "q").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-    nodes = stage(nodes, "nodes")
-    keys = nodes.select("id", "sig").mapInArrow(_keys, "key long, id long")
-    lone = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key", "low")
-    candidates = stage(keys.join(lone, "key").where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct(), "candidates")
-    if rows.groupBy("doc_id").count().where("count > 1").limit(1).count():
+    usable = rows.where("n > 0 and doc_id is not null")
+    nodes = usable.groupBy("p", "q").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("_c"))
+    nodes = stage(nodes, "nodes", F.count(F.lit(1)))
+    keys = stage(nodes.select("id", "sig").mapInArrow(_keys, "key long, id long"), "keys")
+    shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("_c")).where("low < high")
+    shared = stage(shared.select("key", "low", "_c"), "shared", F.count(F.lit(1)))
+    met = join_counted(keys, shared, ["key"], "_c", CHUNKS * WIDTH * nodes._measured, n_keys=shared._measured)
+    candidates = stage(met.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct(), "candidates", F.count(F.lit(1)))
+    drop(keys, shared)
+    repeated = rows.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    if repeated:
         texts = texts.dropDuplicates(["id", "text"])
     links = spokes(candidates, nodes, texts, k, percent)
     groups = stage(connected_components(links).select(F.col("node").alias("id"), F.col("component").alias("grp")), "groups")
+    # A document's class is that of its set's node; what links two groups joins their classes.
+    classes = nodes.select("p", "q", "id", "_c").join(groups, "id", "left").withColumn("grp", F.coalesce("grp", "id"))
     left = unsettled(candidates, nodes, groups)
-    links = links.unionByName(across(left, texts, k, percent))
-    same = rows.where("n > 0 and doc_id is not null").join(nodes.select("p", "q", "id"), ["p", "q"]).where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")).distinct()
-    every = links.unionByName(same)
-    parts = connected_components(every).select(F.col("node").alias("doc_id"), "component")
+    if left._measured:
+        of = lambda c: groups.select(F.col("id").alias(c), F.col("grp").alias(f"g{c}"))
+        more = across(left, texts, k, percent).join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b"))
+        joined = connected_components(more).select(F.col("node").alias("grp"), F.col("component").alias("top"))
+        classes = classes.join(joined, "grp", "left").withColumn("grp", F.coalesce("top", "grp"))
+    parts = stage(classes.select("p", "q", "id", "_c", "grp"), "classes")
+    met = join_counted(usable.select("doc_id", "p", "q"), parts, ["p", "q"], "_c", nodes._measured).select("doc_id", "grp")
+    parts = met.groupBy("doc_id").agg(F.min("grp").alias("component"), F.max("grp").alias("other"))
+    if repeated:
+        # Rows that share an id are one document, and make one class of theirs.
+        met, parts = stage(met.distinct(), "met"), stage(parts, "parts")
+        bridges = met.join(parts.where("component < other").select("doc_id", "component"), "doc_id").select(F.col("component").alias("a"), F.col("grp").alias("b"))
+        joined = connected_components(bridges).select(F.col("node").alias("component"), F.col("component").alias("top"))
+        parts = parts.join(joined, "component", "left").withColumn("component", F.coalesce("top", "component"))
+    parts = parts.select("doc_id", "component")
     out = rows.join(parts, "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))

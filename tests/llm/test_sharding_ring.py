@@ -47,5 +47,5 @@ def test_ranges_and_movement(spark, monkeypatch):
             assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
     a, b = ({r.doc_id: r.shard for r in x if r.doc_id is not None} for x in (eight, nine))
     moved = sum(a[i] != b[i] for i in a) / len(a)
-    # 1/9 must move; floor and ceil loads make overflow move as well, far fewer than hashing anew (8/9).
-    assert 0.1 < moved < 0.5
+    # 1/9 must move; floor and ceil loads make some overflow move as well, far fewer than hashing anew (8/9).
+    assert 0.1 < moved < 0.3

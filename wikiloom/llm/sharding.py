@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from bisect import bisect_left
 
 from pyspark.sql import DataFrame
@@ -16,8 +16,13 @@ RANGE = 1 << 16
 
 
 def ring(n_shards: int, vnodes: int, segments: int) -> list[tuple[int, int]]:
-    """Sorted (segment, shard) of all virtual nodes. A shard's points depend on its number only."""
-    return sorted((zlib.crc32(f"shard-{s}/point-{v}".encode()) % segments, s) for s in range(n_shards) for v in range(vnodes))
+    """Sorted (segment, shard) of all virtual nodes.
+
+    A shard's points on the circle depend on its number only; segments, a power of two, cut the circle by leading bits, for
+    points and keys alike, so a finer cut leaves every point where it was.
+    """
+    point = lambda s, v: int.from_bytes(hashlib.md5(f"shard-{s}/point-{v}".encode()).digest()[:4], "big")
+    return sorted((point(s, v) * segments >> 32, s) for s in range(n_shards) for v in range(vnodes))
 
 
 def fill(counts: dict[int, int], n_shards: int, vnodes: int, segments: int) -> list[tuple[int, int, int, int, int]]:

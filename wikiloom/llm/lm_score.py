@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from .common import reads_alike, stage, unstage
 
 #: Bytes of text in one block of documents (a longer text is a block), rows of n-grams that one partition of the count table
 #: is sized for, and bytes of text that one task scores.
-BLOCK_BYTES, PART_ROWS, TASK_BYTES = 12 << 20, 4 << 20, 48 << 20
+BLOCK_BYTES, PART_ROWS, TASK_BYTES = 24 << 20, 4 << 20, 48 << 20
 #: Rows of one Arrow batch of n-grams.
 BATCH = 1 << 17
 BACKOFF = 0.4
@@ -26,9 +27,12 @@ _C = np.uint64(0x9E3779B97F4A7C15)
 
 def _grams(texts: list[bytes], order: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Document number of each token, and for each length up to ``order`` the hash of the n-gram that ends there (0: the text starts later)."""
-    ws = [t.lower().split() for t in texts]
-    of = np.repeat(np.arange(len(ws)), [len(w) for w in ws])
-    one = np.fromiter((xxhash.xxh3_64_intdigest(w) for x in ws for w in x), np.uint64, len(of))
+    hashes = []
+    for t in texts:
+        ws = t.lower().split()
+        hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, ws), np.uint64, len(ws)))
+    of = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
+    one = np.concatenate([np.empty(0, np.uint64), *hashes])
     one = np.where(one == 0, np.uint64(1), one)
     out = [one]
     for k in range(2, order + 1):
@@ -76,7 +80,8 @@ def _tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, rows, texts in _blocks(batches):
         for lo in range(0, len(rows), 500):
             part = rows[lo : lo + 500]
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array(texts[lo : lo + 500], pa.binary())], names=["block", "row", "doc_id", "text"])
+            packed = [zstandard.compress(t) for t in texts[lo : lo + 500]]
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array(packed, pa.binary())], names=["block", "row", "doc_id", "text"])
 
 
 def others(g: np.ndarray, of: np.ndarray, grams: np.ndarray, totals: np.ndarray) -> np.ndarray:
@@ -99,7 +104,7 @@ def others(g: np.ndarray, of: np.ndarray, grams: np.ndarray, totals: np.ndarray)
 def _score(tokens: int, order: int):
     def run(key: tuple, docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         docs = docs.sort_values("row")
-        of, levels = _grams(list(docs["text"]), order)
+        of, levels = _grams(list(map(zstandard.decompress, docs["text"])), order)
         grams, totals = answers["gram"].to_numpy(np.int64).view(np.uint64), answers["total"].to_numpy(np.int64)
         at = np.argsort(grams)
         grams, totals = grams[at], totals[at]
@@ -148,6 +153,8 @@ def lm_scores(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_col:
     exploded = rows.mapInArrow(_explode(order), "gram long, block long, n int").repartition(parts, "gram")
     counted = exploded.withColumn("total", F.sum("n").over(Window.partitionBy("gram")))
     answers = stage(counted.where("total > n").select("block", "gram", "total"), "answers")
+    # The n-grams' shuffle is not needed any more.
+    del exploded, counted
     unstage()
     tasks = max(8, int((size or 0) // TASK_BYTES))
     tagged = rows.mapInArrow(_tag, "block long, row long, doc_id long, text binary").repartition(tasks, "block")

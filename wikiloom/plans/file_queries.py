@@ -85,9 +85,9 @@ def _firm(spark, sf) -> DataFrame:
     return from_columns(s.unionByName(n).unionByName(spark.range(1).selectExpr("999L as id", "'Category:Firms' as title", "'' as text")))
 
 
-@query("SELECT s_suppkey + 1000 AS id, length('[[Category:Firms]]A \"firm\" & co in [[Nation ' || s_nationkey || ']]. [http://www.example.com/?a=1&b=' || s_suppkey || ' site][http://www.example.com/?a=1&b=' || s_suppkey || ' again]') AS org_length, length('&quot;firm&quot; &amp; co in <a id=\"' || (s_nationkey + 1) || '\">Nation ' || s_nationkey || '</a>. siteagain') AS new_length, false AS stub, 1 AS n_categories, 1 AS n_links, 1 AS n_urls, s_name || ' & sons' AS title, '999' AS categories, CAST(s_nationkey + 1 AS VARCHAR) AS links, 'http://www.example.com/?a=1&b=' || s_suppkey AS urls FROM supplier")
+@query("SELECT s_suppkey + 1000 AS id, length('[[Category:Firms]]A \"firm\" & co in [[Nation ' || s_nationkey || ']]. [http://www.example.com/?a=1&b=' || s_suppkey || ' site][http://www.example.com/?a=1&b=' || s_suppkey || ' again]') AS org_length, length(' &quot;firm&quot; &amp; co in <a id=\"' || (s_nationkey + 1) || '\">Nation ' || s_nationkey || '</a>. siteagain') AS new_length, false AS stub, 1 AS n_categories, 1 AS n_links, 1 AS n_urls, s_name || ' & sons' AS title, '999' AS categories, CAST(s_nationkey + 1 AS VARCHAR) AS links, 'http://www.example.com/?a=1&b=' || s_suppkey AS urls FROM supplier")
 def legacy_document(spark, sf):
-    """The whole record of the compressed legacy document, read back."""
+    """The whole record of the compressed legacy document, read back; letters glued to a category link go with it."""
     pages, look = _run(spark, _firm(spark, sf))
     path = _place(spark, "legacy")
     sinks.write_legacy(pages, look, path, compress=True)
@@ -101,7 +101,7 @@ _COMPOSITE = (
 )
 
 
-@query("SELECT n_nationkey + 1000 AS id, n_name || ' <&>' AS title, 0 AS stub, 0 AS disambig, 0 AS category, 0 AS image, '999' AS categories, '1' AS links, '1' AS related, 'http://a.example/?b&c=' || n_nationkey || ' x \"y\"' AS external, 'Memoryalpha:' || replace(n_name, '_', ' ') || '=there' AS interwiki, '2:k=' || n_name || ',l=<' AS templates FROM nation")
+@query("SELECT n_nationkey + 1000 AS id, replace(n_name, '_', ' ') || ' <&>' AS title, 0 AS stub, 0 AS disambig, 0 AS category, 0 AS image, '999' AS categories, '1' AS links, '1' AS related, 'http://a.example/?b&c=' || n_nationkey || ' x \"y\"' AS external, 'Memoryalpha:' || replace(n_name, '_', ' ') || '=there' AS interwiki, '2:k=' || n_name || ',l=<' AS templates FROM nation")
 def composite_document(spark, sf):
     """K2: the whole record of the composite document, read back."""
     n = _t(spark, sf, "nation")
@@ -178,10 +178,10 @@ def nowiki_blocks(spark, sf):
     return x.select("id", "text", _list(F.transform("wiki_links", lambda l: l["target_id"])).alias("targets"))
 
 
-@query("SELECT c_custkey + 100000 AS id, 'ab ' || 'x' || c_custkey || 'y -  - n' || c_custkey || 's -' AS text, 'x' || c_custkey || 'y|Nope:x' || c_custkey || '|n' || c_custkey || 's' AS anchors FROM customer")
+@query("SELECT c_custkey + 100000 AS id, 'ab ' || 'xk' || c_custkey || 'y -  - n' || c_custkey || 's -' AS text, 'xk' || c_custkey || 'y|Nope:x' || c_custkey || '|n' || c_custkey || 's' AS anchors FROM customer")
 def link_variants(spark, sf):
     """Empty links, links in links, unresolved titles with a colon; glued letters belong to the anchor."""
-    x = _marked(spark, sf, "concat('a[[]]b x[[', c_custkey, ']]y - [[Nope:x', c_custkey, ']] - [[Nowhere|n', c_custkey, ']]s -')")
+    x = _marked(spark, sf, "concat('a[[]]b x[[k', c_custkey, ']]y - [[Nope:x', c_custkey, ']] - [[Nowhere|n', c_custkey, ']]s -')")
     return x.select("id", "text", _list(F.transform("wiki_links", lambda l: l["anchor"])).alias("anchors"))
 
 

@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wikiloom.llm.common import join_counted, ranked, stage
+from wikiloom.llm.common import ranked, stage
 from wikiloom.llm.decontaminate import digest, find_contamination
 from wikiloom.llm.language import fit, identify
 from wikiloom.llm.minhash import near_duplicates
-from wikiloom.llm.mixing import mix_to_targets, row_hash
+from wikiloom.llm.mixing import cuts, mix_to_targets, n_words, row_hash
 from wikiloom.llm.sharding import shard_documents
 
 #: Benchmark items of which a document must hold a full window to be dropped; where it holds only whole items that are
@@ -61,21 +61,21 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it.
 
-    Rows equal in id, text and source are one to the mix: the copies it takes of them are summed and dealt out evenly, the
-    rest to the first ones as they are read.
+    What the mix takes is told by source, length and hash (``cuts``), so no text is shuffled as long as that table is small.
+    Rows equal in id, text and source have one hash: where the mix takes some of them once more than others, those are
+    dealt out, first come first served.
     """
-    mixed = mix_to_targets(docs)
-    name = lambda c: (F.coalesce(c.cast("string"), F.lit("")).alias("_source"), c.isNull().alias("_none"))
-    key = ["_hash", "_source", "_none"]
-    taken = mixed.select(F.col("row_hash").alias("_hash"), *name(F.col("source")), "copies").groupBy(*key).agg(F.sum("copies").cast("int").alias("_copies"), F.count(F.lit(1)).cast("int").alias("_rows"))
-    taken = stage(taken.where("_copies > 0"), "taken")
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), row_hash(docs["doc_id"], docs["text"]).alias("_hash"), *name(docs["source"]))
-    rows = join_counted(keyed, taken, key, "_rows", docs.count())
-    even = F.col("_copies") % F.col("_rows") == 0
-    uneven = stage(rows.where(~even).withColumn("_at", F.monotonically_increasing_id()), "uneven")
-    dealt = ranked(uneven, key, [F.col("_at")], F.col("_at"), "_rank").withColumn("_extra", (F.col("_rank") < F.col("_copies") % F.col("_rows")).cast("int"))
-    every = rows.where(even).select("row", (F.col("_copies") / F.col("_rows")).cast("int").alias("n")).unionByName(dealt.select("row", (F.floor(F.col("_copies") / F.col("_rows")) + F.col("_extra")).cast("int").alias("n")))
-    return every.where("n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
+    plan = stage(cuts(mix_to_targets(docs)), "plan")
+    same = F.coalesce(plan["source"], F.lit("")) == F.col("_source")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), row_hash(docs["doc_id"], docs["text"]).alias("_hash"), F.coalesce(docs["source"].cast("string"), F.lit("")).alias("_source"), docs["source"].isNull().alias("_none"), n_words(docs["text"]).alias("_size"))
+    rows = keyed.join(plan, same & (plan["source"].isNull() == F.col("_none")) & (plan["size"] == F.col("_size")))
+    odd = F.coalesce(F.col("_hash") == F.col("odd"), F.lit(False))
+    each = F.when(F.coalesce(F.col("_hash") <= F.col("cut"), F.lit(False)), F.col("high")).otherwise(F.col("low")).cast("int")
+    dealt = stage(rows.where(odd).select("row", "_source", "_none", "_size", "_hash", "low", "odd_more", F.monotonically_increasing_id().alias("_at")), "odd")
+    dealt = ranked(dealt, ["_source", "_none", "_size", "_hash"], [F.col("_at")], F.col("_at"), "_rank")
+    dealt = dealt.select("row", (F.col("low") + (F.col("_rank") < F.col("odd_more")).cast("int")).cast("int").alias("n"))
+    every = rows.where(~odd).select("row", each.alias("n")).unionByName(dealt).where("n > 0")
+    return every.select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

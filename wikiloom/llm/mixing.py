@@ -117,6 +117,10 @@ def row_hash(doc_id: Column, text: Column, seed: int = 17) -> Column:
     return F.xxhash64(F.lit(seed), doc_id, text)
 
 
+def n_words(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text.cast("string"), F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
+
+
 def mix_to_targets(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken, row_hash.
 
@@ -126,8 +130,7 @@ def mix_to_targets(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: i
     Rows of equal id and text are interchangeable; null ids and null sources are ordinary values; texts without words
     take nothing; an empty table gives no rows; other columns are ignored. Reruns give the same rows.
     """
-    size = F.coalesce(F.regexp_count(docs[text_col].cast("string"), F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"), size.alias("size"), row_hash(docs[id_col], docs[text_col], seed).alias("_h"))
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"), n_words(docs[text_col]).alias("size"), row_hash(docs[id_col], docs[text_col], seed).alias("_h"))
     rows = stage(rows, "mix")
     lengths = rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     by_source = lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -139,6 +142,22 @@ def mix_to_targets(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: i
     # The null source needs a value to be a join key; the flag keeps it apart from a source named "".
     rows = rows.withColumn("_null", F.col("source").isNull()).withColumn("_key", F.coalesce("source", F.lit("")))
     plan = plan.withColumn("_null", F.col("_s").isNull()).withColumn("_key", F.coalesce("_s", F.lit(""))).withColumnRenamed("_n", "size").drop("_s")
-    at = ranked(rows, ["_key", "_null", "size"], [F.col("_h"), F.col("doc_id")], F.col("_h"), "_rank", fan_out(rows.count()))
+    # Pieces by the hash's leading bits: ranks go by hash over all of them.
+    bits = (fan_out(rows.count()) - 1).bit_length()
+    piece = F.shiftright("_h", 64 - bits) + (1 << (bits - 1))
+    at = ranked(rows, ["_key", "_null", "size"], [F.col("_h"), F.col("doc_id")], piece, "_rank", 1 << bits)
     out = at.join(plan, ["_key", "_null", "size"]).withColumn("copies", F.when(F.col("size") == 0, 0).otherwise(F.col("_whole") + (F.col("_rank") < F.col("_pick")).cast("int")))
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), F.col("_h").alias("row_hash"))
+
+
+def cuts(mixed: DataFrame) -> DataFrame:
+    """What a mix takes, by source and size, from ``mix_to_targets``' rows: (source, size, low, high, cut, odd, odd_rows, odd_more).
+
+    Rows with a hash up to ``cut`` are taken ``high`` times, the others ``low`` times; of the ``odd_rows`` rows whose hash is
+    ``odd``, ``odd_more`` are taken once more. One row for each length of a source, however many documents there are.
+    """
+    by_hash = mixed.groupBy("source", "size", "row_hash").agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("n"))
+    by_hash = by_hash.withColumn("each", F.floor(F.col("c") / F.col("n"))).withColumn("more", F.col("c") % F.col("n"))
+    every = by_hash.groupBy("source", "size").agg(F.min("each").alias("low"), F.max(F.struct("each", "row_hash")).alias("top"), F.max(F.when(F.col("more") > 0, F.struct("row_hash", "n", "more"))).alias("odd"))
+    cut = F.when(F.col("top.each") > F.col("low"), F.col("top.row_hash"))
+    return every.select("source", "size", "low", F.col("top.each").alias("high"), cut.alias("cut"), F.col("odd.row_hash").alias("odd"), F.col("odd.n").alias("odd_rows"), F.col("odd.more").alias("odd_more"))

@@ -87,7 +87,7 @@ def _shingles(text, k):
     return {tuple(ws[i : i + k]) for i in range(len(ws) - min(k, len(ws)) + 1)} if ws else set()
 
 
-@pytest.mark.parametrize("k,percent,members,small", [(3, 85, 512, True), (5, 80, 3, False), (2, 60, 3, True)])
+@pytest.mark.parametrize("k,percent,members,small", [(3, 85, 512, True), (5, 80, 3, False)])
 def test_near_duplicates(docs, empty, monkeypatch, k, percent, members, small):
     monkeypatch.setattr("wikiloom.llm.minhash.MEMBERS", members)
     monkeypatch.setattr("wikiloom.llm.minhash.BROADCAST_BYTES", 16 << 20 if small else 0)
@@ -96,10 +96,7 @@ def test_near_duplicates(docs, empty, monkeypatch, k, percent, members, small):
     links = [(a, b) for a, x in sets for b, y in sets if a is not None and b is not None and x and y and 100 * len(x & y) >= percent * len(x | y)]
     want = _components(links, {i for i, _ in sets})
     got = near_duplicates(docs, k, percent).collect()
-    # Signatures promise links of 0.8 and more; looser ones are found where buckets happen to meet.
-    if percent >= 80:
-        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter((i, len(s), want[i]) for i, s in sets)
-    assert all(want[r.component_id] == want[r.doc_id] for r in got if r.doc_id is not None)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter((i, len(s), want[i]) for i, s in sets)
     assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id is not None)
     assert near_duplicates(empty).count() == 0
 
@@ -300,6 +297,7 @@ def test_probes_follow_clusters():
 @pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_lm_scores(docs, empty, monkeypatch, order):
     monkeypatch.setattr("wikiloom.llm.lm_score.BLOCK_BYTES", 4000)
+    monkeypatch.setattr("wikiloom.llm.lm_score.CHUNK", 300)
     texts = [(r[0], (r[1] or "").encode().lower().split()) for r in ROWS]
     total = sum(len(t) for _, t in texts)
     grams = lambda t: Counter(tuple(t[i - k : i]) for k in range(1, order + 1) for i in range(k, len(t) + 1))

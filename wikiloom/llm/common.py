@@ -6,6 +6,7 @@ import atexit
 import gc
 import shutil
 import tempfile
+import time
 import uuid
 from functools import reduce
 
@@ -34,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir[app]
 
 
-def stage(df: DataFrame, name: str, measure: Column | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, measure: Column | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again: cuts the lineage and survives lost executors.
 
     With ``measure``, an aggregate that is taken while the rows are written, the result has it as ``_measured``.
@@ -42,7 +43,7 @@ def stage(df: DataFrame, name: str, measure: Column | None = None) -> DataFrame:
     spark, seen = df.sparkSession, Observation()
     df = df if measure is None else df.observe(seen, measure.alias("m"))
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     if measure is not None:
@@ -61,8 +62,11 @@ def drop(*staged: DataFrame) -> None:
 def unstage(*staged: DataFrame) -> None:
     """``drop``, and let go of the shuffles that made the tables."""
     drop(*staged)
-    gc.collect()
-    SparkSession.active()._jvm.System.gc()
+    # The listeners of a query hold it for a moment after its end.
+    for _ in range(3):
+        gc.collect()
+        SparkSession.active()._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

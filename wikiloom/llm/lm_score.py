@@ -18,9 +18,11 @@ from .common import reads_alike, stage, unstage
 
 #: Bytes of text in one block of documents (a longer text is a block), rows of n-grams that one partition of the count table
 #: is sized for, and bytes of text that one task scores.
-BLOCK_BYTES, PART_ROWS, TASK_BYTES = 24 << 20, 4 << 20, 48 << 20
+BLOCK_BYTES, PART_ROWS, TASK_BYTES = 12 << 20, 4 << 20, 16 << 20
 #: Rows of one Arrow batch of n-grams.
 BATCH = 1 << 17
+#: Tokens that are scored at a time (a longer text goes alone).
+CHUNK = 1 << 18
 BACKOFF = 0.4
 _C = np.uint64(0x9E3779B97F4A7C15)
 
@@ -31,9 +33,10 @@ def _grams(texts: list[bytes], order: int) -> tuple[np.ndarray, list[np.ndarray]
     for t in texts:
         ws = t.lower().split()
         hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, ws), np.uint64, len(ws)))
-    of = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
+    of = np.repeat(np.arange(len(hashes), dtype=np.int32), [len(h) for h in hashes])
     one = np.concatenate([np.empty(0, np.uint64), *hashes])
-    one = np.where(one == 0, np.uint64(1), one)
+    del hashes
+    one[one == 0] = 1
     out = [one]
     for k in range(2, order + 1):
         g = np.zeros(len(of), np.uint64)
@@ -84,21 +87,27 @@ def _tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array(packed, pa.binary())], names=["block", "row", "doc_id", "text"])
 
 
-def others(g: np.ndarray, of: np.ndarray, grams: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """Count of each token's n-gram in the other documents; ``grams`` (sorted) have ``totals``, the rest stand in this block only."""
+def block_totals(g: np.ndarray, grams: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a block and their counts in all documents: ``grams`` (sorted) have ``totals``, the rest stand in this block only."""
+    every, n = np.unique(g[g != 0], return_counts=True)
+    if len(grams) and len(every):
+        i = np.minimum(np.searchsorted(grams, every), len(grams) - 1)
+        n = np.where(grams[i] == every, totals[i], n)
+    return every, n
+
+
+def others(g: np.ndarray, of: np.ndarray, every: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Count of each token's n-gram in the other documents, for whole documents of a block."""
     at = np.argsort(g, kind="stable")
     x, d = g[at], of[at]
-    new = np.concatenate([[True], x[1:] != x[:-1]])
-    own = new | np.concatenate([[True], d[1:] != d[:-1]])
-    sizes = lambda starts: np.diff(np.append(starts, len(g)))
-    first, mine = np.flatnonzero(new), np.flatnonzero(own)
-    total = sizes(first)
-    if len(grams):
-        i = np.minimum(np.searchsorted(grams, x[first]), len(grams) - 1)
-        total = np.where(grams[i] == x[first], totals[i], total)
+    own = np.concatenate([[True], (x[1:] != x[:-1]) | (d[1:] != d[:-1])])
+    starts = np.flatnonzero(own)
+    mine = np.diff(np.append(starts, len(g)))
+    i = np.minimum(np.searchsorted(every, x[starts]), max(0, len(every) - 1))
+    left = np.where(x[starts] == 0, 0, (total[i] if len(every) else 0) - mine)
     out = np.empty(len(g), np.int64)
-    out[at] = total[np.cumsum(new) - 1] - sizes(mine)[np.cumsum(own) - 1]
-    return np.where(g == 0, 0, out)
+    out[at] = left[np.cumsum(own) - 1]
+    return out
 
 
 def _score(tokens: int, order: int):
@@ -108,18 +117,28 @@ def _score(tokens: int, order: int):
         grams, totals = answers["gram"].to_numpy(np.int64).view(np.uint64), answers["total"].to_numpy(np.int64)
         at = np.argsort(grams)
         grams, totals = grams[at], totals[at]
+        tables = [block_totals(g, grams, totals) for g in levels]
         words = np.bincount(of, minlength=len(docs))
+        ends = np.concatenate([[0], np.cumsum(words)])
         score, backed = np.zeros(len(docs)), np.zeros(len(docs))
-        if len(of):
-            counts = [others(g, of, grams, totals) for g in levels]
-            p = np.maximum(counts[0], 1 / 2) / np.maximum(1, tokens - words)[of]
-            steps = np.zeros(len(of))
-            for k in range(1, order):
-                context = np.concatenate([[0], counts[k - 1][:-1]])
-                there, has = levels[k] != 0, counts[k] > 0
-                p = np.where(has, counts[k] / np.maximum(context, 1), np.where(there, BACKOFF * p, p))
-                steps = np.where(has, 0, steps + there)
-            score, backed = np.bincount(of, np.log(p), len(docs)), np.bincount(of, steps, len(docs))
+        first = 0
+        while first < len(docs):
+            # Some documents of the block at a time.
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + CHUNK, "right")) - 1)
+            a, b = ends[first], ends[last]
+            if a < b:
+                here = of[a:b]
+                counts = [others(g[a:b], here, *t) for g, t in zip(levels, tables)]
+                p = np.maximum(counts[0], 1 / 2) / np.maximum(1, tokens - words)[here]
+                steps = np.zeros(b - a)
+                for k in range(1, order):
+                    context = np.concatenate([[0], counts[k - 1][:-1]])
+                    there, has = levels[k][a:b] != 0, counts[k] > 0
+                    p = np.where(has, counts[k] / np.maximum(context, 1), np.where(there, BACKOFF * p, p))
+                    steps = np.where(has, 0, steps + there)
+                score[first:last] = np.bincount(here - first, np.log(p), last - first)
+                backed[first:last] = np.bincount(here - first, steps, last - first)
+            first = last
         return pd.DataFrame({"doc_id": docs["doc_id"].array, "n_words": words, "n_backoff": backed.astype(np.int64), "log_score": score, "mean_log_score": score / np.maximum(1, words)})
 
     return run
@@ -152,7 +171,7 @@ def lm_scores(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_col:
     parts = max(8, int((words or 0) * order // PART_ROWS))
     exploded = rows.mapInArrow(_explode(order), "gram long, block long, n int").repartition(parts, "gram")
     counted = exploded.withColumn("total", F.sum("n").over(Window.partitionBy("gram")))
-    answers = stage(counted.where("total > n").select("block", "gram", "total"), "answers")
+    answers = stage(counted.where("total > n").select("block", "gram", "total"), "answers", codec="zstd")
     # The n-grams' shuffle is not needed any more.
     del exploded, counted
     unstage()

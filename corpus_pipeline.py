@@ -71,10 +71,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = keyed.join(plan, same & (plan["source"].isNull() == F.col("_none")) & (plan["size"] == F.col("_size")))
     odd = F.coalesce(F.col("_hash") == F.col("odd"), F.lit(False))
     each = F.when(F.coalesce(F.col("_hash") <= F.col("cut"), F.lit(False)), F.col("high")).otherwise(F.col("low")).cast("int")
-    dealt = stage(rows.where(odd).select("row", "_source", "_none", "_size", "_hash", "low", "odd_more", F.monotonically_increasing_id().alias("_at")), "odd")
-    dealt = ranked(dealt, ["_source", "_none", "_size", "_hash"], [F.col("_at")], F.col("_at"), "_rank")
-    dealt = dealt.select("row", (F.col("low") + (F.col("_rank") < F.col("odd_more")).cast("int")).cast("int").alias("n"))
-    every = rows.where(~odd).select("row", each.alias("n")).unionByName(dealt).where("n > 0")
+    every = rows.where(~odd).select("row", each.alias("n"))
+    # Where ids and texts are unlike, as after near-dedup, no row is odd and the texts are not read for that.
+    if plan.where("odd is not null").limit(1).count():
+        dealt = stage(rows.where(odd).select("row", "_source", "_none", "_size", "_hash", "low", "odd_more", F.monotonically_increasing_id().alias("_at")), "odd")
+        dealt = ranked(dealt, ["_source", "_none", "_size", "_hash"], [F.col("_at")], F.col("_at"), "_rank")
+        every = every.unionByName(dealt.select("row", (F.col("low") + (F.col("_rank") < F.col("odd_more")).cast("int")).cast("int").alias("n")))
+    every = every.where("n > 0")
     return every.select("row", F.explode(F.sequence(F.lit(1), F.col("n")))).select("row.*")
 
 
